@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,19 +23,22 @@ NULL_BRANCH_HEX = "00"
 STRING_BRANCH_HEX = "02"
 
 
-def _byte(n: Column) -> Column:
-    return F.lpad(F.hex(n), 2, "0")
-
-
 def _length_hex(byte_length: Column) -> Column:
     """Zig-zag varint of a byte length, as hex digits (lengths are below 2**31)."""
     zigzag = byte_length.cast("long") * 2
-    chain = None
-    for count in range(5, 0, -1):
-        groups = [F.shiftright(zigzag, 7 * i).bitwiseAND(0x7F) for i in range(count)]
-        digits = F.concat(*[_byte(g.bitwiseOR(0x80)) for g in groups[:-1]], _byte(groups[-1]))
-        chain = digits if chain is None else F.when(zigzag < F.lit(1 << (7 * count)), digits).otherwise(chain)
-    return chain
+
+    def digits(count: int) -> Column:
+        """Low seven bits first, every byte but the last with its high bit set."""
+        value = F.shiftright(zigzag, 7 * (count - 1))
+        for i in range(count - 1):
+            group = F.shiftright(zigzag, 7 * i).bitwiseAND(0x7F).bitwiseOR(0x80)
+            value = value.bitwiseOR(F.shiftleft(group, 8 * (count - 1 - i)))
+        return F.lpad(F.hex(value), 2 * count, "0")
+
+    chain = F.when(zigzag < (1 << 7), digits(1))
+    for count in (2, 3, 4):
+        chain = chain.when(zigzag < (1 << (7 * count)), digits(count))
+    return chain.otherwise(digits(5))
 
 
 def _field(c: Column) -> Column:
@@ -45,9 +48,13 @@ def _field(c: Column) -> Column:
 
 
 def encode_frame(columns: list[Column], schema_id: int) -> Column:
-    """Binary frame of nullable string columns, in contract order."""
+    """Binary frame of nullable string columns, in contract order.
+
+    One expression applied to every field in turn: spelling it out per field would outgrow the
+    method size codegen can handle on wide contracts.
+    """
     header = F.unhex(F.lit(f"{MAGIC_BYTE_HEX}{schema_id:08x}"))
-    return F.concat(header, *[_field(c) for c in columns])
+    return F.aggregate(F.array(*columns), header, lambda frame, c: F.concat(frame, _field(c)))
 
 
 def frame_body(value: Column) -> Column:
@@ -88,14 +95,14 @@ def _read_strings(body: bytes, count: int) -> list[str | None]:
     return values
 
 
-def _arrow_decoder(contract: T.StructType):
-    names = contract.names
+def _arrow_decoder(names: list[str]):
+    schema = pa.schema([(n, pa.string()) for n in names])
 
-    @F.pandas_udf(contract)
-    def decode(bodies: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in bodies:
-            rows = [_read_strings(bytes(b), len(names)) for b in batch]
-            yield pd.DataFrame(rows, columns=names, dtype=object)
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_read_strings(body, len(names)) for body in batch.column(0).to_pylist()]
+            columns = zip(*rows) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], schema=schema)
 
     return decode
 
@@ -110,11 +117,10 @@ def has_avro(spark: SparkSession) -> bool:
 
 def decode_frames(frames: DataFrame, contract: T.StructType, value: str = "value") -> DataFrame:
     """Frames to contract columns: strip the header, read the body, expand the record."""
-    body = frame_body(F.col(value))
+    body = frame_body(F.col(value)).alias("body")
     if has_avro(frames.sparkSession):
         from pyspark.sql.avro.functions import from_avro
 
-        record = from_avro(body, avro_schema(contract, "record"))
-    else:
-        record = _arrow_decoder(contract)(body)
-    return frames.select(record.alias("record")).select("record.*")
+        record = from_avro(F.col("body"), avro_schema(contract, "record"))
+        return frames.select(body).select(record.alias("record")).select("record.*")
+    return frames.select(body).mapInArrow(_arrow_decoder(contract.names), contract)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratica.proofs.registry import views
 from stratica.sources import contracts as c
@@ -154,13 +155,19 @@ def landed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def raw_layer(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Raw rows of both types with fixed landing stamps."""
-    businesses, reviews = landed(spark, folder)
+    """Raw tables of both types, written in parquet with fixed stamps."""
+    root = work_folder(spark, "raw")
 
-    def stamp(df: DataFrame, at: str) -> DataFrame:
-        return df.select("*", F.lit(at).alias(c.STAMP), F.lit(at[:10]).alias(c.STAMP_DATE))
+    def land(source: DataFrame, contract: T.StructType, at: str, name: str) -> DataFrame:
+        rows = c.conform(c.stringify(c.flatten(source)), contract)
+        stamped = rows.select("*", F.lit(at).alias(c.STAMP), F.lit(at[:10]).alias(c.STAMP_DATE))
+        stamped.write.parquet(f"{root}/{name}")
+        return spark.read.schema(c.with_stamps(contract)).parquet(f"{root}/{name}")
 
-    return stamp(businesses, BUSINESS_AT), stamp(reviews, REVIEW_AT)
+    return (
+        land(business_source(spark, folder), c.BUSINESS, BUSINESS_AT, "businesses"),
+        land(review_source(spark, folder), c.REVIEW, REVIEW_AT, "reviews"),
+    )
 
 
 # --- What the comparison SQL expects -----------------------------------------------------------

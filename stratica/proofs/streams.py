@@ -188,11 +188,11 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     """Rows each of two queries has read, from their progress."""
     at = work_folder(spark, "progress")
     queries = []
-    for name in ("customer", "orders"):
+    for query, name in (("progress_customers", "customer"), ("progress_orders", "orders")):
         rows = table(spark, folder, name)
         stream = read_folder_stream(spark, _staged(rows, name), rows.schema, 2)
         queries.append(
-            stream.writeStream.queryName(f"progress_{name}s".replace("ss", "s")).format("parquet")
+            stream.writeStream.queryName(query).format("parquet")
             .option("checkpointLocation", f"{at}/checkpoint-{name}").trigger(availableNow=True).start(f"{at}/{name}")
         )
     supervise(spark, queries, until_all_done=True)

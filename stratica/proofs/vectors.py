@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratica.functions.vectors import has_dims
+from stratica.functions.vectors import dot, has_dims
 from stratica.operators.embedding import DIMS, QUERY, embed
 from stratica.operators.vectors import dimension_report, hit_view, ranked, vector_topk, with_payload
 from stratica.operators.upsert import current, write_batch
@@ -142,7 +142,7 @@ def vector_upsert(spark: SparkSession, folder: str) -> DataFrame:
 @proof(
     f"""WITH {cells("d", "doc_id", "source || ' | ' || lang || ' | ' || text", "documents")}
         SELECT key AS doc_id, 768 AS dims, count(*) AS filled, round(sum(v * v), 6) AS squared,
-               round(sum(v * cell), 4) AS weighted FROM d GROUP BY key"""
+               round(sum(v * cell), 4) AS weighted FROM d_stored GROUP BY key"""
 )
 def embed_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents embedded on the executors; every cell enters the comparison."""
@@ -151,16 +151,13 @@ def embed_documents(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id", embedding_text(F.col("source"), F.col("lang"), F.col("text")).alias("body")
     )
-    vectors = embed(docs, "body").select("doc_id", F.transform("embedding", lambda v: v.cast("double")).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    unit = vectors.select("doc_id", F.transform("v", lambda x: x / norm).alias("v"))
-    weighted = F.aggregate(F.transform("v", lambda x, i: x * i), F.lit(0.0), lambda s, x: s + x)
-    return unit.select(
+    weighted = F.transform("embedding", lambda v, i: v.cast("double") * i)
+    return embed(docs, "body").select(
         "doc_id",
-        F.size("v").alias("dims"),
-        F.size(F.filter("v", lambda x: x > 0)).cast("bigint").alias("filled"),
-        F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x), 6).alias("squared"),
-        F.round(weighted, 4).alias("weighted"),
+        F.size("embedding").alias("dims"),
+        F.size(F.filter("embedding", lambda v: v > 0)).cast("bigint").alias("filled"),
+        F.round(dot(F.col("embedding"), F.col("embedding")), 6).alias("squared"),
+        F.round(F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x), 4).alias("weighted"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,23 +23,23 @@ def _as_booleans(schema: T.StructType) -> T.StructType:
     )
 
 
-def record_text(line: Column, nested: T.StructType) -> list[Column]:
+def parse_records(lines: DataFrame, nested: T.StructType, line: str = "value") -> DataFrame:
     """Flat all-string columns of JSON records with the given nested layout.
 
     Numbers keep the text they were written with. JSON booleans are spelled ``True``/``False``;
     a second, boolean-typed reading of the record tells them from the strings "true"/"false".
+    Each reading is one column of an inner projection, so a record is parsed twice and not once
+    per field.
     """
-    as_strings = F.from_json(line, nested)
-    as_booleans = F.from_json(line, _as_booleans(nested))
+    parsed = lines.select(
+        F.from_json(line, nested).alias("text"), F.from_json(line, _as_booleans(nested)).alias("flag")
+    )
     columns = []
-    for name, leaf, _ in leaves(nested):
-        path = leaf_path(name, nested)
-        text, boolean = as_strings, as_booleans
-        for step in path:
-            text, boolean = text[step], boolean[step]
-        value = F.when(boolean.isNotNull(), F.initcap(boolean.cast("string"))).otherwise(text)
-        columns.append(F.nullif(value, F.lit("")).alias(name))
-    return columns
+    for name, _, _ in leaves(nested):
+        path = ".".join(f"`{step}`" for step in leaf_path(name, nested))
+        text, flag = F.col(f"text.{path}"), F.col(f"flag.{path}")
+        columns.append(F.coalesce(F.initcap(flag.cast("string")), F.nullif(text, F.lit(""))).alias(name))
+    return parsed.select(columns)
 
 
 def leaf_path(flat: str, nested: T.StructType, sep: str = "_") -> list[str]:
@@ -69,7 +69,7 @@ def read_ndjson(
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     if limit:
         lines = lines.limit(limit)
-    records = lines.select(record_text(F.col("value"), nested))
+    records = parse_records(lines, nested)
     return conform(records, contract) if contract else records
 
 
