@@ -73,12 +73,19 @@ def blank_null(c: Column) -> Column:
 def decimal_float_text(c: Column) -> Column:
     """A double spelled in shortest decimal form: ``4.5``, ``12345678.9``, ``1e+16``, ``5e-05``."""
     size = F.abs(c)
+    spelled = c.cast("string")
+    # some JVMs spell a few doubles with more digits than they need
+    fifteen = F.format_string("%.14e", c)
+    digits = F.when((F.length(spelled) > 17) & (fifteen.try_cast("double") == c), fifteen).otherwise(spelled)
     plain = F.regexp_replace(
-        c.cast("string").try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]+?)0+$", "$1"
+        digits.try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]+?)0+$", "$1"
+    )
+    exponent = F.regexp_extract(digits, r"[eE][+-]?0*([0-9]+)$", 1)
+    scientific = F.concat(
+        F.regexp_extract(digits, r"^(-?[0-9]+(?:\.[0-9]*[1-9])?)", 1),
+        F.when(digits.rlike("[eE]-"), F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent),
     )
-    short = F.regexp_replace(c.cast("string"), r"\.0E", "E")
-    signed = F.regexp_replace(short, r"E([0-9])", "E+$1")
-    scientific = F.lower(F.regexp_replace(signed, r"E([+-])([0-9])$", "E$10$2"))
     return (
         F.when(c == 0, F.when(c.cast("string") == "-0.0", F.lit("-0.0")).otherwise(F.lit("0.0")))
         .when((size >= 1e-4) & (size < 1e16), plain)

@@ -6,14 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def settled_round(c: Column, digits: int) -> Column:
+    """Half-up rounding decided on twelve decimals, so that summation noise cannot tip a half."""
+    settled = F.round(c.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.coalesce(settled, F.round(c, digits))
+
+
 def average_by(df: DataFrame, group: str, metric: str, digits: int = 4, where: Column | None = None) -> DataFrame:
     rows = df if where is None else df.where(where)
-    return rows.groupBy(group).agg(F.round(F.avg(metric), digits).alias(f"avg_{metric}"))
+    return rows.groupBy(group).agg(settled_round(F.avg(metric), digits).alias(f"avg_{metric}"))
 
 
 def total_by(df: DataFrame, group: str, metric: str, digits: int = 2, where: Column | None = None) -> DataFrame:
     rows = df if where is None else df.where(where)
-    return rows.groupBy(group).agg(F.round(F.sum(metric), digits).alias(f"sum_{metric}"))
+    return rows.groupBy(group).agg(settled_round(F.sum(metric), digits).alias(f"sum_{metric}"))
 
 
 def count_entities(df: DataFrame, entity: str, where: Column, group: str | None = None) -> DataFrame:
@@ -26,7 +32,7 @@ def count_entities(df: DataFrame, entity: str, where: Column, group: str | None
 def percentage_by(entities: DataFrame, group: str, flag: Column, digits: int = 4) -> DataFrame:
     """Share of entities with the flag, in percent. Unknown flags count as not having it."""
     has = F.coalesce(flag, F.lit(False)).cast("int")
-    return entities.groupBy(group).agg(F.round(F.avg(has) * 100, digits).alias("pct"))
+    return entities.groupBy(group).agg(settled_round(F.avg(has) * 100, digits).alias("pct"))
 
 
 def top_groups(df: DataFrame, group: str, metric: Column, n: int, name: str = "metric") -> DataFrame:

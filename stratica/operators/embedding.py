@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratica.session import spread
+
 # Vector length, texts per call, and the two uses of a text.
 DIMS = 768
 BATCH = 100
@@ -70,4 +72,4 @@ def embed(
             found = np.concatenate(calls) if calls else np.zeros((0, model.dims))
             yield pd.Series(list(found.astype(np.float32)))
 
-    return df.withColumn(into, vectors(F.col(text)))
+    return spread(df).withColumn(into, vectors(F.col(text)))

@@ -82,19 +82,21 @@ def unmatched(rows: DataFrame, matched: DataFrame, key: str) -> DataFrame:
 
     Null keys would all hash to one task, so a second join column spreads them: it is a row hash
     where the key is null and zero otherwise. The key comparison alone decides the result.
+    The matched keys are made distinct first: copies of a hot key collapse before the shuffle,
+    and the join reuses that shuffle.
     """
     spread = F.when(F.col(key).isNull(), F.xxhash64(*[f"`{c}`" for c in rows.columns])).otherwise(F.lit(0))
     left = rows.withColumn("_spread", spread)
-    right = matched.select(F.col(key), F.lit(0).cast("long").alias("_spread"))
+    right = matched.select(F.col(key), F.lit(0).cast("long").alias("_spread")).distinct()
     return left.join(right, [key, "_spread"], "left_anti").drop("_spread")
 
 
 def restricted_to(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the ids; null and empty ids are ignored, repeats do no harm."""
+    """Rows whose key is among the ids; null and empty ids are ignored, repeats collapse first."""
     usable = ids.where(F.col(key).isNotNull())
     if dict(ids.dtypes)[key] == "string":
         usable = usable.where(F.col(key) != "")
-    return rows.join(usable.select(key), key, "left_semi")
+    return rows.join(usable.select(key).distinct(), key, "left_semi")
 
 
 def in_list(c: Column, values: list) -> Column:

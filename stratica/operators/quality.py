@@ -39,7 +39,7 @@ def reconcile(
     carried = [c for c in raw.columns if c not in (stamp, stamp_date)]
     missing = unmatched(raw, joined, key)
     if quarantined is not None:
-        # stack() keeps a null apart from any text a value could hold
+        # the object leaves null members out, which keeps a null apart from any text
         digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in carried])), 256)
         known = quarantined.select(digest.alias("_row")).distinct()
         missing = missing.withColumn("_row", digest).join(known, "_row", "left_anti").drop("_row")

@@ -7,23 +7,24 @@ block are searched block by block, so nothing grows with the query set but the n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from stratica.functions.vectors import cosine, has_dims
+from stratica.functions.vectors import has_dims
+from stratica.session import spread
 
 TOP_K = 10
 QUERY_BLOCK = 1024  # query vectors sent to the tasks at a time: 6 MB at 768 double dimensions
 _CELLS = 1 << 22  # scores held at once in a task
 _NOISE_DIGITS = 9  # differences below this are summation noise, not similarity
 
-SCORE_SCHEMA = "score double"
-
 
 def dimension_report(points: DataFrame, vector: str, dims: int) -> DataFrame:
     """Points whose vector has not the configured length, with the length they have."""
@@ -51,9 +52,20 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
+def _visible(lists: pa.Array, places: dict, width: int) -> np.ndarray:
+    """Row by query mask out of each row's list of query ids."""
+    mask = np.zeros((len(lists), width), dtype=bool)
+    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    mask[rows, [places[q] for q in lists.flatten().to_pylist()]] = True
+    return mask
+
+
 def _task_topk(query_ids: list, queries: np.ndarray, k: int, dims: int, schema: pa.Schema):
+    """Search of one task over batches of (id, vector) or (id, vector, ids of the queries allowed)."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(query_ids)
+        places = {q: i for i, q in enumerate(query_ids)}
         step = max(1, _CELLS // max(1, len(query_ids)))
         for batch in batches:
             ids = np.array(batch.column(0).to_pylist())
@@ -61,19 +73,22 @@ def _task_topk(query_ids: list, queries: np.ndarray, k: int, dims: int, schema:
             for start in range(0, len(ids), step):
                 part = ids[start : start + step]
                 scores = np.round(vectors[start : start + step] @ queries.T, _NOISE_DIGITS)
+                mask = None
+                if batch.num_columns > 2:
+                    mask = _visible(batch.column(2).slice(start, step), places, len(query_ids))
                 for q, held in enumerate(best):
-                    column = scores[:, q]
-                    if held is None:
-                        best[q] = _best(column, part, k)
+                    hopeful = slice(None) if mask is None else mask[:, q]
+                    if held is not None and len(held[0]) == k:
+                        rising = scores[:, q] >= held[0][-1]
+                        hopeful = rising if mask is None else rising & hopeful
+                    rivals, names = scores[hopeful, q], part[hopeful]
+                    if not len(rivals):
                         continue
-                    hopeful = column >= held[0][-1] if len(held[0]) == k else slice(None)
-                    rivals = column[hopeful]
-                    if len(rivals):
-                        best[q] = _best(
-                            np.concatenate([held[0], rivals]), np.concatenate([held[1], part[hopeful]]), k
-                        )
+                    if held is not None:
+                        rivals, names = np.concatenate([held[0], rivals]), np.concatenate([held[1], names])
+                    best[q] = _best(rivals, names, k)
         for query_id, held in zip(query_ids, best):
-            if held is not None and len(held[0]):
+            if held is not None:
                 columns = [[query_id] * len(held[0]), held[1].tolist(), held[0].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
@@ -104,6 +119,36 @@ def ranked(hits: DataFrame, query_id: str, point_id: str, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
+def _hit_schema(points: DataFrame, point_id: str, queries: DataFrame, query_id: str) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(point_id, points.schema[point_id].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+
+def _searched(
+    candidates_for: Callable[[list], DataFrame],
+    queries: DataFrame,
+    output: T.StructType,
+    k: int,
+    dims: int,
+    block: int,
+) -> DataFrame:
+    """One scoring pass per block of queries over the candidates that block may see."""
+    query_id, point_id = output.names[:2]
+    arrow = to_arrow_schema(output)
+    passes = []
+    for rows in _query_blocks(queries, query_id, block):
+        ids = [r[0] for r in rows]
+        matrix = _unit(np.array([r[1] for r in rows], dtype=np.float64))
+        passes.append(candidates_for(ids).mapInArrow(_task_topk(ids, matrix, k, dims, arrow), output))
+    hits = reduce(DataFrame.unionByName, passes) if passes else queries.sparkSession.createDataFrame([], output)
+    return ranked(hits, query_id, point_id, k)
+
+
 def vector_topk(
     points: DataFrame,
     queries: DataFrame,
@@ -124,33 +169,10 @@ def vector_topk(
     Points whose vector has another length are left out (see :func:`dimension_report`).
     """
     candidates = points if where is None else points.where(where)
-    candidates = candidates.where(has_dims(F.col(vector), dims)).select(point_id, vector)
-    id_type = candidates.schema[point_id].dataType
-    query_type = queries.schema[query_id].dataType
-    output = T.StructType(
-        [
-            T.StructField(query_id, query_type),
-            T.StructField(point_id, id_type),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    arrow = _arrow_schema(output)
+    candidates = spread(candidates.where(has_dims(F.col(vector), dims)).select(point_id, vector))
     wanted = queries.where(has_dims(F.col(query_vector), dims)).select(query_id, query_vector)
-    hits = None
-    for rows in _query_blocks(wanted, query_id, block):
-        matrix = _unit(np.array([r[1] for r in rows], dtype=np.float64))
-        search = _task_topk([r[0] for r in rows], matrix, k, dims, arrow)
-        found = candidates.mapInArrow(search, output)
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        hits = points.sparkSession.createDataFrame([], output)
-    return ranked(hits, query_id, point_id, k)
-
-
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
+    output = _hit_schema(points, point_id, queries, query_id)
+    return _searched(lambda ids: candidates, wanted, output, k, dims, block)
 
 
 def restricted_topk(
@@ -164,18 +186,25 @@ def restricted_topk(
     vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "query_vector",
+    dims: int,
+    block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """Top k where each query may only see the points of its own entities.
 
-    ``allowed`` holds ``(query id, entity)`` pairs. Two equality joins give exactly the permitted
-    pairs, and they are scored in place by native expressions.
+    ``allowed`` holds ``(query id, entity)`` pairs. For a block of queries they become one row per
+    entity listing the queries that may see it, at most a block of ids long, so that every point
+    is joined and scored once however many queries it is open to.
     """
-    pairs = allowed.select(query_id, entity).where(F.col(entity).isNotNull()).distinct()
-    seen = points.select(point_id, entity, vector).join(pairs, entity)
-    scored = seen.join(queries.select(query_id, query_vector), query_id).select(
-        query_id, point_id, F.round(cosine(F.col(vector), F.col(query_vector)), _NOISE_DIGITS).alias("score")
-    )
-    return ranked(scored, query_id, point_id, k)
+    pairs = allowed.select(query_id, entity).where(F.col(entity).isNotNull())
+    seen = points.where(has_dims(F.col(vector), dims)).select(point_id, vector, entity)
+    wanted = queries.where(has_dims(F.col(query_vector), dims)).select(query_id, query_vector)
+
+    def candidates(ids: list) -> DataFrame:
+        viewers = pairs.where(F.col(query_id).isin(ids)).groupBy(entity).agg(F.collect_set(query_id).alias("viewers"))
+        return seen.join(viewers, entity).select(point_id, vector, "viewers")
+
+    output = _hit_schema(points, point_id, queries, query_id)
+    return _searched(candidates, wanted, output, k, dims, block)
 
 
 # What a hit shows, with the text used where a field is missing (fixed values).

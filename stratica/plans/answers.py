@@ -64,7 +64,7 @@ def routed_search(
     limited = searching.where(hybrid).join(usable.select("query_id"), "query_id", "left_semi")
     free = searching.join(limited.select("query_id"), "query_id", "left_anti")
     pairs = usable.join(limited.select("query_id"), "query_id", "left_semi")
-    inside = restricted_topk(points, limited, pairs, k, entity=entity)
+    inside = restricted_topk(points, limited, pairs, k, entity=entity, dims=dims)
     everywhere = vector_topk(points, free, k, dims=dims, where=where)
     return everywhere.unionByName(inside)
 

@@ -12,6 +12,7 @@ from stratica.operators.vectors import hit_view, with_payload
 from stratica.plans.answers import contexts, routed_search
 from stratica.proofs.hashed import cells, scores
 from stratica.proofs.registry import proof, table, views
+from stratica.session import work_folder
 
 _REPLIES = """SELECT event_id, CASE event_id % 6
       WHEN 0 THEN '{"route": "sql"}' WHEN 1 THEN '{"route": "Vector"}' WHEN 2 THEN '{"route": "HYBRID"}'
@@ -58,6 +59,14 @@ def _score_sql(score: str) -> str:
     return f"CAST(round({score}, 4) AS VARCHAR)"
 
 
+def _stored_points(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """Documents embedded once into a table of points, which the two kinds of search both read."""
+    at = work_folder(spark, "document-points")
+    rows = documents.select(F.col("doc_id").alias("point_id"), F.col("source").alias("business_id"), "text")
+    embed(rows, "text").drop("text").write.parquet(at)
+    return spark.read.parquet(at)
+
+
 @proof(
     f"""WITH {cells("b", "item_id", "text", "benchmark")}, {cells("d", "doc_id", "text", "documents")},
         {scores("b", "d", pairs=_VISIBLE)},
@@ -81,9 +90,7 @@ def context_render(spark: SparkSession, folder: str) -> DataFrame:
     """A batch of questions by route, with the context each is answered from."""
     views(spark, folder, "benchmark")
     documents = table(spark, folder, "documents")
-    points = embed(
-        documents.select(F.col("doc_id").alias("point_id"), F.col("source").alias("business_id"), "text"), "text"
-    )
+    points = _stored_points(spark, documents)
     asked = spark.sql(
         f"SELECT item_id AS query_id, text AS query, {_ROUTE} AS route, {_SQL_RESULT} AS sql_result, {_ERROR} AS error "
         "FROM benchmark"

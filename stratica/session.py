@@ -5,13 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even where that costs a later shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # stream state that outgrows the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -42,9 +48,24 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/stratica/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
+def checkpointed(df: DataFrame) -> DataFrame:
     """Cut a lineage with a reliable checkpoint (survives executor loss)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for Python work on an input too small to fill them.
+
+    Rows are redistributed only while the estimated size is below one scan split per core, so the
+    shuffle is small by construction; larger inputs already come in enough partitions.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
