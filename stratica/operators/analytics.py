@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def settled_round(c: Column, digits: int) -> Column:
-    """Half-up rounding decided on twelve decimals, so that summation noise cannot tip a half."""
-    settled = F.round(c.try_cast("decimal(38,12)"), digits).cast("double")
+    """Half-up rounding decided on eight decimals, so that summation noise cannot tip a half."""
+    settled = F.round(c.try_cast("decimal(38,8)"), digits).cast("double")
     return F.coalesce(settled, F.round(c, digits))
 
 

@@ -32,12 +32,12 @@ _SILVER = f"WITH silver AS ({records.expected_silver()})"
 _ENTITIES = _SILVER + ", entities AS (SELECT DISTINCT ON (business_id) * FROM silver)"
 
 
-@proof(f"{_SILVER} SELECT city, CAST(round(CAST(avg(review_stars) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_review_stars FROM silver WHERE categories LIKE '%MACHINERY%' GROUP BY city")
+@proof(f"{_SILVER} SELECT city, CAST(round(CAST(avg(review_stars) AS DECIMAL(38,8)), 4) AS DOUBLE) AS avg_review_stars FROM silver WHERE categories LIKE '%MACHINERY%' GROUP BY city")
 def question_average_rating(spark: SparkSession, folder: str) -> DataFrame:
     """Average rating of one category by city, as plain SQL on the view."""
     _view(spark, folder)
     return spark.sql(
-        f"SELECT city, CAST(round(CAST(avg(review_stars) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_review_stars FROM {_VIEW} "
+        f"SELECT city, CAST(round(CAST(avg(review_stars) AS DECIMAL(38,8)), 4) AS DOUBLE) AS avg_review_stars FROM {_VIEW} "
         "WHERE categories LIKE '%MACHINERY%' GROUP BY city"
     )
 
@@ -64,7 +64,7 @@ def question_busy_businesses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @proof(
-    f"""{_ENTITIES} SELECT city, CAST(round(CAST(avg(business_stars) AS DECIMAL(38,12)), 4) AS DOUBLE) AS rating FROM entities
+    f"""{_ENTITIES} SELECT city, CAST(round(CAST(avg(business_stars) AS DECIMAL(38,8)), 4) AS DOUBLE) AS rating FROM entities
         GROUP BY city ORDER BY rating DESC, city LIMIT 5"""
 )
 def question_top_cities_by_rating(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +73,7 @@ def question_top_cities_by_rating(spark: SparkSession, folder: str) -> DataFrame
 
 
 @proof(
-    f"""{_ENTITIES} SELECT city, CAST(round(CAST(avg(CASE WHEN outdoor_seating THEN 1 ELSE 0 END) * 100 AS DECIMAL(38,12)), 4) AS DOUBLE) AS pct
+    f"""{_ENTITIES} SELECT city, CAST(round(CAST(avg(CASE WHEN outdoor_seating THEN 1 ELSE 0 END) * 100 AS DECIMAL(38,8)), 4) AS DOUBLE) AS pct
         FROM entities GROUP BY city"""
 )
 def question_outdoor_share(spark: SparkSession, folder: str) -> DataFrame:

@@ -71,12 +71,12 @@ def _fact_view(spark: SparkSession, folder: str) -> DataFrame:
 _FACTS = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
 
 
-@proof(f"SELECT n_name, CAST(round(CAST(avg(o_totalprice) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_o_totalprice FROM {_FACTS} GROUP BY n_name")
+@proof(f"SELECT n_name, CAST(round(CAST(avg(o_totalprice) AS DECIMAL(38,8)), 4) AS DOUBLE) AS avg_o_totalprice FROM {_FACTS} GROUP BY n_name")
 def sql_avg_by_group(spark: SparkSession, folder: str) -> DataFrame:
     return analytics.average_by(_fact_view(spark, folder), "n_name", "o_totalprice")
 
 
-@proof(f"SELECT c_mktsegment, CAST(round(CAST(sum(o_totalprice) AS DECIMAL(38,12)), 2) AS DOUBLE) AS sum_o_totalprice FROM {_FACTS} GROUP BY c_mktsegment")
+@proof(f"SELECT c_mktsegment, CAST(round(CAST(sum(o_totalprice) AS DECIMAL(38,8)), 2) AS DOUBLE) AS sum_o_totalprice FROM {_FACTS} GROUP BY c_mktsegment")
 def sql_sum_by_group(spark: SparkSession, folder: str) -> DataFrame:
     return analytics.total_by(_fact_view(spark, folder), "c_mktsegment", "o_totalprice")
 
@@ -92,7 +92,7 @@ def sql_count_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @proof(
-    """SELECT c_mktsegment, CAST(round(CAST(avg(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) * 100 AS DECIMAL(38,12)), 4) AS DOUBLE) AS pct
+    """SELECT c_mktsegment, CAST(round(CAST(avg(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) * 100 AS DECIMAL(38,8)), 4) AS DOUBLE) AS pct
        FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) GROUP BY c_mktsegment"""
 )
 def sql_pct_by_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,7 +102,7 @@ def sql_pct_by_group(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @proof(
-    f"""SELECT n_name, CAST(round(CAST(avg(o_totalprice) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_value FROM {_FACTS}
+    f"""SELECT n_name, CAST(round(CAST(avg(o_totalprice) AS DECIMAL(38,8)), 4) AS DOUBLE) AS avg_value FROM {_FACTS}
         GROUP BY n_name ORDER BY avg_value DESC, n_name LIMIT 5"""
 )
 def sql_topn_groups(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,6 +14,8 @@ from stratica.operators.upsert import BATCH_ID, write_batch
 TABLE_TRIGGER = "10 seconds"
 FANOUT_TRIGGER = "60 seconds"
 
+_NOTE_SCHEMA = "sink string, batch_id long, state string, error string"
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -92,17 +94,18 @@ def fan_out(
 
 
 def _set_aside(batch: DataFrame, dead_letters: str, sink: str, batch_id: int, error: Exception) -> None:
-    spark = batch.sparkSession
     write_batch(batch, f"{dead_letters}/rows/{sink}", batch_id)
-    entry = spark.createDataFrame(
-        [(sink, int(batch_id), "failed", str(error))], "sink string, batch_id long, state string, error string"
-    )
+    _note(batch.sparkSession, dead_letters, sink, batch_id, "failed", str(error))
+
+
+def _note(spark: SparkSession, dead_letters: str, sink: str, batch_id: int, state: str, error: str | None) -> None:
+    entry = spark.createDataFrame([(sink, int(batch_id), state, error)], _NOTE_SCHEMA)
     entry.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{dead_letters}/log")
 
 
 def dead_letter_log(spark: SparkSession, dead_letters: str) -> DataFrame:
     """What failed and what has been replayed since: ``(sink, batch_id, state, error, at)``."""
-    schema = "sink string, batch_id long, state string, error string, at timestamp"
+    schema = f"{_NOTE_SCHEMA}, at timestamp"
     path = f"{dead_letters}/log"
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
@@ -136,13 +139,9 @@ def replay(spark: SparkSession, dead_letters: str, sinks: dict[str, Sink]) -> in
         rows = spark.read.parquet(f"{dead_letters}/rows/{entry['sink']}/{BATCH_ID}={entry[BATCH_ID]}")
         try:
             sinks[entry["sink"]](rows, entry[BATCH_ID])
-        except Exception as error:
-            _set_aside(rows, dead_letters, entry["sink"], entry[BATCH_ID], error)
+        except Exception as error:  # the rows stay where they are
+            _note(spark, dead_letters, entry["sink"], entry[BATCH_ID], "failed", str(error))
             continue
-        mark = spark.createDataFrame(
-            [(entry["sink"], entry[BATCH_ID], "done", None)],
-            "sink string, batch_id long, state string, error string",
-        )
-        mark.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{dead_letters}/log")
+        _note(spark, dead_letters, entry["sink"], entry[BATCH_ID], "done", None)
         done += 1
     return done
