@@ -80,15 +80,13 @@ def entity_join(
 def unmatched(rows: DataFrame, matched: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur among the matched ones; a null key never matches.
 
-    Null keys would all hash to one task, so a second join column spreads them: it is a row hash
-    where the key is null and zero otherwise. The key comparison alone decides the result.
-    The matched keys are made distinct first: copies of a hot key collapse before the shuffle,
-    and the join reuses that shuffle.
+    Rows without a key skip the join, where they would all hash to one task; the scan that finds
+    them prunes on null counts. Matched keys are made distinct first: copies of a hot key collapse
+    before the shuffle, and the join reuses that shuffle.
     """
-    spread = F.when(F.col(key).isNull(), F.xxhash64(*[f"`{c}`" for c in rows.columns])).otherwise(F.lit(0))
-    left = rows.withColumn("_spread", spread)
-    right = matched.select(F.col(key), F.lit(0).cast("long").alias("_spread")).distinct()
-    return left.join(right, [key, "_spread"], "left_anti").drop("_spread")
+    keyed = rows.where(F.col(key).isNotNull())
+    keyless = rows.where(F.col(key).isNull())
+    return keyed.join(matched.select(key).distinct(), key, "left_anti").select(rows.columns).unionByName(keyless)
 
 
 def restricted_to(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -43,7 +43,8 @@ def profile(
     one row per profiled column.
     """
     counts = value_counts(df, columns)
-    distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count"))
+    # counting over n keeps this branch on the same shuffle as the two rankings
+    distinct = counts.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("distinct_count"))
     by_value = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_first())
     by_count = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
     listed = counts.withColumn("position", F.row_number().over(by_value)).where(

@@ -12,6 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +32,13 @@ def dimension_report(points: DataFrame, vector: str, dims: int) -> DataFrame:
     return points.where(~has_dims(F.col(vector), dims)).withColumn("actual_dims", F.size(vector))
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(-1, dims).astype(np.float64)
+def _well_formed(batch: pa.RecordBatch, dims: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows whose vector has ``dims`` finite numbers, and those vectors as a matrix."""
+    sized = pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), dims), False)
+    batch = batch.filter(sized)
+    rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims).astype(np.float64)
+    finite = np.isfinite(rows).all(axis=1)
+    return (batch, rows) if finite.all() else (batch.filter(pa.array(finite)), rows[finite])
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -68,8 +73,9 @@ def _task_topk(query_ids: list, queries: np.ndarray, k: int, dims: int, schema:
         places = {q: i for i, q in enumerate(query_ids)}
         step = max(1, _CELLS // max(1, len(query_ids)))
         for batch in batches:
+            batch, rows = _well_formed(batch, dims)
             ids = np.array(batch.column(0).to_pylist())
-            vectors = _unit(_matrix(batch.column(1), dims))
+            vectors = _unit(rows)
             for start in range(0, len(ids), step):
                 part = ids[start : start + step]
                 scores = np.round(vectors[start : start + step] @ queries.T, _NOISE_DIGITS)
@@ -142,8 +148,9 @@ def _searched(
     arrow = to_arrow_schema(output)
     passes = []
     for rows in _query_blocks(queries, query_id, block):
+        rows = [r for r in rows if r[1] is not None and len(r[1]) == dims]
         ids = [r[0] for r in rows]
-        matrix = _unit(np.array([r[1] for r in rows], dtype=np.float64))
+        matrix = _unit(np.array([r[1] for r in rows], dtype=np.float64).reshape(-1, dims))
         passes.append(candidates_for(ids).mapInArrow(_task_topk(ids, matrix, k, dims, arrow), output))
     hits = reduce(DataFrame.unionByName, passes) if passes else queries.sparkSession.createDataFrame([], output)
     return ranked(hits, query_id, point_id, k)
@@ -166,11 +173,12 @@ def vector_topk(
 
     ``where`` and any semi-join on ``points`` act before scoring. Only the id and the vector
     column are read; fetch payload columns for the few hits with :func:`with_payload`.
-    Points whose vector has another length are left out (see :func:`dimension_report`).
+    Points whose vector has another length are left out (see :func:`dimension_report`). That is
+    checked while scoring: as a filter it would have vectors computed in the same plan twice.
     """
     candidates = points if where is None else points.where(where)
-    candidates = spread(candidates.where(has_dims(F.col(vector), dims)).select(point_id, vector))
-    wanted = queries.where(has_dims(F.col(query_vector), dims)).select(query_id, query_vector)
+    candidates = spread(candidates.select(point_id, vector))
+    wanted = queries.select(query_id, query_vector)
     output = _hit_schema(points, point_id, queries, query_id)
     return _searched(lambda ids: candidates, wanted, output, k, dims, block)
 
@@ -196,8 +204,8 @@ def restricted_topk(
     is joined and scored once however many queries it is open to.
     """
     pairs = allowed.select(query_id, entity).where(F.col(entity).isNotNull())
-    seen = points.where(has_dims(F.col(vector), dims)).select(point_id, vector, entity)
-    wanted = queries.where(has_dims(F.col(query_vector), dims)).select(query_id, query_vector)
+    seen = points.select(point_id, vector, entity)
+    wanted = queries.select(query_id, query_vector)
 
     def candidates(ids: list) -> DataFrame:
         viewers = pairs.where(F.col(query_id).isin(ids)).groupBy(entity).agg(F.collect_set(query_id).alias("viewers"))
