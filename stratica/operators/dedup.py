@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+STREAM_SALTS = 8
 _ROW = "_stratica_row"
 
 
@@ -25,6 +26,21 @@ def one_per_entity(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return df.select(key, *columns).dropDuplicates([key])
 
 
-def dedup_within_watermark(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """Streaming de-duplication whose state is dropped once the watermark has passed."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+def salt_of(columns: list[str], salts: int) -> Column:
+    mixed = F.xxhash64(*[f"`{c}`" for c in columns]).bitwiseXOR(F.xxhash64(F.spark_partition_id()))
+    return F.pmod(mixed, F.lit(salts)).cast("int")
+
+
+def dedup_within_watermark(
+    stream: DataFrame, keys: list[str], event_time: str, delay: str, salts: int = STREAM_SALTS
+) -> DataFrame:
+    """Streaming de-duplication whose state is dropped once the watermark has passed.
+
+    Rows are first de-duplicated per key and salt, then per key: a key with very many copies is
+    worked off by several tasks, and the last step sees at most one copy per salt.
+    """
+    rows = stream.withWatermark(event_time, delay)
+    if salts > 1:
+        salted = rows.withColumn("_salt", salt_of(stream.columns, salts))
+        rows = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(keys)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratica.operators.dedup import STREAM_SALTS, salt_of
 from stratica.sources.contracts import STAMP, STAMP_DATE
 
 WATERMARK = "24 hours"
-STREAM_SALTS = 8
 _SALT, _ENTITY_TS, _FACT_TS = "_salt", "_entity_ts", "_fact_ts"
 
 
@@ -35,8 +35,9 @@ def entity_join(
     (a stream-static join) instead.
 
     Skew: a batch join is left to AQE, which splits an oversized partition at run time. Streams
-    have no AQE, so facts are salted over ``spread_by`` (all fact columns by default) and each
-    entity row is repeated once per salt.
+    have no AQE, so facts are salted and each entity row is repeated once per salt. The salt
+    mixes a hash of ``spread_by`` (all fact columns by default) with the input partition, so that
+    copies of one row spread as well; a retried task repeats its salts.
     """
     if how != "inner" and within is None and (entities.isStreaming and facts.isStreaming):
         raise ValueError("an outer stream-stream join never emits unmatched rows without a time bound")
@@ -52,7 +53,7 @@ def entity_join(
     if salts > 1:
         spread = spread_by or facts.columns
         spread = [_FACT_TS if c == stamp else c for c in spread]
-        right = right.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+        right = right.withColumn(_SALT, salt_of(spread, salts))
         left = left.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
     left, right = left.alias("e"), right.alias("f")

@@ -99,3 +99,19 @@ def shown_hits(hits: DataFrame, points: DataFrame) -> DataFrame:
     """Hits with the fields an answer shows."""
     payload = points.select("point_id", *[n for n in c.PAYLOAD_FIELDS if n in points.columns])
     return hit_view(with_payload(hits, payload), keep=["query_id", "rank", "point_id"])
+
+
+def answer(
+    points: DataFrame,
+    questions: DataFrame,
+    sql_ids: DataFrame,
+    k: int = TOP_K,
+    *,
+    dims: int,
+    where: Column | None = None,
+) -> DataFrame:
+    """Questions to contexts in one call: search by route, fetch what hits show, render.
+
+    ``questions`` carries ``query_id, query, route, sql_result, error, query_vector``.
+    """
+    return contexts(questions, shown_hits(routed_search(points, questions, sql_ids, k, dims=dims, where=where), points))

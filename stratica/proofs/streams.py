@@ -11,7 +11,7 @@ from stratica.operators.upsert import current, read_batches
 from stratica.plans.medallion import start_bronze, vector_sink
 from stratica.proofs import records
 from stratica.proofs.registry import proof, table
-from stratica.session import work_folder
+from stratica.session import spread, work_folder
 from stratica.sources import contracts as c
 from stratica.sources.tables import read_folder_stream
 from stratica.sources.topics import to_frames, write_topic
@@ -19,17 +19,25 @@ from stratica.streaming.monitor import progress_table, supervise
 from stratica.streaming.sinks import append_sink, fan_out, replay, start_table_sink
 
 
+_WHOLE = 1_000_000  # files per batch where event times are not in file order
+
+
 def _drain(query) -> None:
     query.awaitTermination()
 
 
-def _staged(df: DataFrame, label: str, files: int = 4) -> str:
-    """The frame as a folder of several files, so that streams see several batches."""
+def _staged(df: DataFrame, label: str) -> str:
+    """The frame as a folder of at least a file per core, so that streams see several batches."""
     at = work_folder(df.sparkSession, label)
-    df.repartition(files).write.parquet(at)
+    spread(df).write.parquet(at)
     return at
 
 
+def _per_trigger(spark: SparkSession) -> int:
+    """Files per batch: half a file per core, so batches grow with the cluster."""
+    return max(1, spark.sparkContext.defaultParallelism // 2)
+
+
 @proof(
     """SELECT 'businesses' AS topic, count(*) AS n, count(DISTINCT c_custkey) AS keys FROM customer
        UNION ALL SELECT 'reviews', count(*), count(DISTINCT o_custkey) FROM orders"""
@@ -40,7 +48,7 @@ def bronze_ingest_stream(spark: SparkSession, folder: str) -> DataFrame:
     businesses, reviews = records.landed(spark, folder)
     write_topic(to_frames(businesses, "business_id", "businesses", 1), f"{at}/topics")
     write_topic(to_frames(reviews, "business_id", "reviews", 2), f"{at}/topics")
-    source = {"path": f"{at}/topics", "max_files": 8}
+    source = {"path": f"{at}/topics", "max_files": max(8, _per_trigger(spark))}
     queries = [
         start_bronze(spark, topic, contract, f"{at}/checkpoints/{topic}", source=source,
                      path=f"{at}/{topic}", trigger=None)
@@ -66,8 +74,8 @@ def _stream_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     )
     left, right = _staged(entities, "entities"), _staged(facts, "facts")
     return (
-        read_folder_stream(spark, left, entities.schema, 2),
-        read_folder_stream(spark, right, facts.schema, 2),
+        read_folder_stream(spark, left, entities.schema, _per_trigger(spark)),
+        read_folder_stream(spark, right, facts.schema, _per_trigger(spark)),
     )
 
 
@@ -113,8 +121,8 @@ def silver_stream_join_bounded(spark: SparkSession, folder: str) -> DataFrame:
     purchases = events.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), "ts")
     left, right = _staged(signups, "signups"), _staged(purchases, "purchases")
     joined = entity_join(
-        read_folder_stream(spark, left, signups.schema, 1000),
-        read_folder_stream(spark, right, purchases.schema, 1000),
+        read_folder_stream(spark, left, signups.schema, _WHOLE),
+        read_folder_stream(spark, right, purchases.schema, _WHOLE),
         "user_id", stamp="ts", within="1 day", spread_by=["purchase_id"],
     ).select("user_id", "signup_id", "purchase_id")
     _drain(joined.writeStream.format("parquet").option("checkpointLocation", f"{at}/checkpoint")
@@ -129,7 +137,7 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     staged = _staged(events.unionByName(events), "events-twice")
     once = dedup_within_watermark(
-        read_folder_stream(spark, staged, events.schema, 1000), ["event_id"], "ts", "40 days"
+        read_folder_stream(spark, staged, events.schema, _WHOLE), ["event_id"], "ts", "40 days"
     ).select("event_id", "event_type", "value")
     _drain(once.writeStream.format("parquet").option("checkpointLocation", f"{at}/checkpoint")
            .trigger(availableNow=True).start(f"{at}/rows"))
@@ -144,7 +152,7 @@ def gold_fanout_stream(spark: SparkSession, folder: str) -> DataFrame:
     """One stream into an analytic and a vector sink; the vector sink fails once and is replayed twice."""
     at = work_folder(spark, "gold")
     facts = _document_facts(spark, folder)
-    stream = read_folder_stream(spark, _staged(facts, "documents"), facts.schema, 2)
+    stream = read_folder_stream(spark, _staged(facts, "documents"), facts.schema, _per_trigger(spark))
     vectors = vector_sink(f"{at}/vector")
 
     def unreliable(batch: DataFrame, batch_id: int) -> None:
@@ -190,7 +198,7 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     queries = []
     for query, name in (("progress_customers", "customer"), ("progress_orders", "orders")):
         rows = table(spark, folder, name)
-        stream = read_folder_stream(spark, _staged(rows, name), rows.schema, 2)
+        stream = read_folder_stream(spark, _staged(rows, name), rows.schema, _per_trigger(spark))
         queries.append(
             stream.writeStream.queryName(query).format("parquet")
             .option("checkpointLocation", f"{at}/checkpoint-{name}").trigger(availableNow=True).start(f"{at}/{name}")

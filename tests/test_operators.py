@@ -11,7 +11,7 @@ from stratica.operators.embedding import HashingModel, embed
 from stratica.operators.joins import entity_join, in_list, restricted_to, unmatched
 from stratica.operators.profile import distinct_counts, profile
 from stratica.operators.vectors import dimension_report, hit_view, restricted_topk, vector_topk
-from stratica.plans.answers import contexts, filtered_search
+from stratica.plans.answers import answer, contexts, filtered_search
 from stratica.session import checkpointed, spread, work_folder
 
 
@@ -266,3 +266,19 @@ def test_spread_leaves_streams_alone(spark):
     assert spread(spark.range(10)).rdd.getNumPartitions() == 4
     stream = spark.readStream.format("rate").load()
     assert spread(stream) is stream
+
+
+def test_answers_follow_their_route(spark, search_space):
+    points, queries, p, q = search_space
+    named = p.withColumn("name", F.col("point_id")).withColumn("text", F.lit("t"))
+    for column in ("city", "state", "categories", "review_stars", "business_stars"):
+        named = named.withColumn(column, F.lit(None).cast("string"))
+    routes = F.element_at(F.array(F.lit("SQL"), F.lit("VECTOR"), F.lit("HYBRID")), F.col("query_id") % 3 + 1)
+    questions = q.select("query_id", F.lit("?").alias("query"), routes.alias("route"), "query_vector",
+                         F.lit("x").alias("sql_result"), F.lit(None).cast("string").alias("error"))
+    ids = spark.createDataFrame([(2, "e1"), (2, ""), (5, None), (1, "e1")], "query_id int, business_id string")
+    got = {r["query_id"]: r for r in answer(named, questions, ids, 3, dims=8).collect()}
+    assert [got[i]["hit_count"] for i in range(9)] == [0, 3, 3] * 3
+    best = {i: [h[1] for h in brute_force(points, queries, 3, {i: ["e1"]} if i == 2 else None) if h[0] == i] for i in (1, 2, 5)}
+    for i, names in best.items():
+        assert all(f". {n} (, )" in got[i]["context"] for n in names)
