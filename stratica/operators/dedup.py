@@ -9,15 +9,17 @@ STREAM_SALTS = 8
 _ROW = "_stratica_row"
 
 
-def latest_by(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
+def latest_by(df: DataFrame, key: str | list[str], order: list[Column], total: bool = False) -> DataFrame:
     """The first row of each key in the given order (pass descending stamps for "latest").
 
-    A hash of the whole row breaks remaining ties, so the result does not depend on the plan.
-    Catalyst turns the ``= 1`` filter into a group limit that runs before the shuffle: a task
-    sends at most one row per key, however many copies of a key it read.
+    Unless the order is ``total`` (up to identical copies), a hash of the whole row breaks the
+    remaining ties, so that the result does not depend on the plan; a total order spares reading
+    columns nobody asks for. Catalyst turns the ``= 1`` filter into a group limit that runs before
+    the shuffle: a task sends at most one row per key, however many copies of a key it read.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*[f"`{c}`" for c in df.columns]).desc())
+    ties = [] if total else [F.xxhash64(*[f"`{c}`" for c in df.columns]).desc()]
+    window = Window.partitionBy(*keys).orderBy(*order, *ties)
     return df.withColumn(_ROW, F.row_number().over(window)).where(F.col(_ROW) == 1).drop(_ROW)
 
 

@@ -22,7 +22,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -
 
 
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Land one batch; the same id always lands in the same place."""
+    """Land one batch; the same id always lands in the same place. Keys should occur once in it."""
     batch.drop(BATCH_ID).write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
 
 
@@ -31,9 +31,12 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current(spark: SparkSession, path: str, key: str, order: list[Column] | None = None) -> DataFrame:
-    """The latest row of each key; by default the one of the highest batch."""
+    """The latest row of each key; by default the one of the highest batch.
+
+    Either way the order must be total, and reading stays limited to the columns asked for.
+    """
     rows = read_batches(spark, path)
-    return latest_by(rows, key, order or [F.col(BATCH_ID).desc()]).drop(BATCH_ID)
+    return latest_by(rows, key, order or [F.col(BATCH_ID).desc()], total=True).drop(BATCH_ID)
 
 
 def compact(spark: SparkSession, path: str, into: str, key: str, order: list[Column] | None = None) -> None:

@@ -15,6 +15,7 @@ from stratica.functions.identity import uuid5
 from stratica.functions.literals import bool_dict, entries_as_columns, literal_text
 from stratica.functions.text import embedding_text
 from stratica.functions.wire import decode_frames
+from stratica.operators.dedup import latest_by
 from stratica.operators.embedding import embed
 from stratica.operators.joins import entity_join
 from stratica.operators.upsert import write_batch
@@ -37,13 +38,18 @@ def bronze(frames: DataFrame, contract: T.StructType, at: Column | None = None)
 
 
 def clean_businesses(raw: DataFrame) -> DataFrame:
-    """Typed entity rows out of raw ones, in one projection over native expressions."""
+    """Typed entity rows out of raw ones, by native expressions.
+
+    The two literal parsers are applied to arrays of attributes in an inner projection: each occurs
+    once, so the projection stays small enough for codegen, and is evaluated once per attribute.
+    """
     attribute = {a: F.col(f"attributes_{a}") for a in c.ATTRIBUTES}
     parsed = raw.select(
         "*",
-        bool_dict(attribute["BusinessParking"]).alias("_parking"),
-        bool_dict(attribute["Music"]).alias("_music"),
+        F.transform(F.array(attribute["BusinessParking"], attribute["Music"]), bool_dict).alias("_dicts"),
+        F.transform(F.array(*[attribute[a] for a in c.TEXT_ATTRIBUTES]), literal_text).alias("_words"),
     )
+    parking, music, words = F.col("_dicts")[0], F.col("_dicts")[1], F.col("_words")
     return parsed.select(
         "business_id", "name", "address", "city", "state", "postal_code",
         clean.lenient_float(F.col("stars")).alias("business_stars"),
@@ -51,9 +57,9 @@ def clean_businesses(raw: DataFrame) -> DataFrame:
         clean.flag_text(F.col("is_open")).alias("is_open"),
         "categories",
         *[clean.bool_text(attribute[a]).alias(n) for a, n in c.FLAG_ATTRIBUTES.items()],
-        *entries_as_columns(F.col("_parking"), c.PARKING_KEYS),
-        *entries_as_columns(F.col("_music"), c.MUSIC_KEYS),
-        *[literal_text(attribute[a]).alias(n) for a, n in c.TEXT_ATTRIBUTES.items()],
+        *entries_as_columns(parking, c.PARKING_KEYS),
+        *entries_as_columns(music, c.MUSIC_KEYS),
+        *[words[i].alias(n) for i, n in enumerate(c.TEXT_ATTRIBUTES.values())],
         *[clean.sentinel_int(attribute[a]).alias(n) for a, n in c.PRICE_ATTRIBUTE.items()],
         *[clean.open_hours(F.col(f"hours_{d}")).alias(n) for d, n in c.HOURS.items()],
         clean.timestamp_or_null(F.col(c.STAMP)).alias(c.STAMP),
@@ -92,10 +98,14 @@ def gold_points(facts: DataFrame) -> DataFrame:
 
 
 def vector_sink(path: str, model=None) -> Sink:
-    """Embed a batch on the executors and upsert it by point id."""
+    """Embed a batch on the executors and upsert it by point id.
+
+    A point occurring more than once in a batch is embedded in its latest form only.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        write_batch(embed(gold_points(batch), "embedding_text", model), path, batch_id)
+        points = latest_by(gold_points(batch), "point_id", [F.col(c.STAMP).desc()])
+        write_batch(embed(points, "embedding_text", model), path, batch_id)
 
     return load
 

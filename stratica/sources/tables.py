@@ -90,20 +90,25 @@ def read_folder_stream(
 
 
 def analytics_view(df: DataFrame, name: str, key: str | list[str], order: list) -> DataFrame:
-    """Register the latest row of each key as the only relation SQL questions see."""
-    view = latest_by(df, key, order)
+    """Register the latest row of each key as the only relation SQL questions see.
+
+    The order has to be total up to identical copies; questions then read only the key, the order
+    and the columns they name.
+    """
+    view = latest_by(df, key, order, total=True)
     view.createOrReplaceTempView(name)
     return view
 
 
-def ensure_dedup_view(spark: SparkSession, table: str, key: str, order: str = "ingestion_timestamp") -> bool:
+def ensure_dedup_view(
+    spark: SparkSession, table: str, key: str, order: str = "ingestion_timestamp DESC"
+) -> bool:
     """Create ``<table>_deduped`` over a table; False when the table does not exist yet."""
     if not spark.catalog.tableExists(table):
         return False
     spark.sql(
-        f"CREATE OR REPLACE VIEW {table}_deduped AS "
-        f"SELECT * EXCEPT (_row) FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY {key} ORDER BY {order} DESC, xxhash64(*) DESC) AS _row FROM {table}) WHERE _row = 1"
+        f"CREATE OR REPLACE VIEW {table}_deduped AS SELECT * EXCEPT (_row) FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _row FROM {table}) WHERE _row = 1"
     )
     return True
 
