@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratica.operators.joins import unmatched
+from stratica.sources.tables import folder_bytes
 
 # Texts readers of the tables rely on (fixed values).
 UNMATCHED_REASON = "unmatched_business_id"
@@ -74,10 +75,13 @@ def sink_status(sql_rows: Column, vector_rows: Column) -> Column:
     )
 
 
-def sink_audit(sql_sink: DataFrame, vector_sink: DataFrame) -> DataFrame:
-    """Rows of both sinks and their common status, as one row."""
-    counts = layer_counts({"sql": sql_sink, "vector": vector_sink})
-    return counts.agg(
-        F.sum(F.when(F.col("layer") == "sql", F.col("n"))).alias("sql_rows"),
-        F.sum(F.when(F.col("layer") == "vector", F.col("n"))).alias("vector_rows"),
-    ).withColumn("status", sink_status(F.col("sql_rows"), F.col("vector_rows")))
+def sink_audit(sql_sink: DataFrame, vector_sink: DataFrame, with_bytes: bool = False) -> DataFrame:
+    """Rows of both sinks and their common status, as one row; for file-based sinks with their size."""
+    counts = layer_counts({"sql_rows": sql_sink, "vector_rows": vector_sink})
+    names = ["sql_rows", "vector_rows"]
+    if with_bytes:
+        for name, sink in (("sql_bytes", sql_sink), ("vector_bytes", vector_sink)):
+            counts = counts.unionByName(folder_bytes(sink).select(F.lit(name).alias("layer"), F.col("bytes").alias("n")))
+            names.append(name)
+    audit = counts.agg(*[F.sum(F.when(F.col("layer") == name, F.col("n"))).alias(name) for name in names])
+    return audit.withColumn("status", sink_status(F.col("sql_rows"), F.col("vector_rows")))

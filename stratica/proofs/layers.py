@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratica.operators.joins import unmatched
 from stratica.operators.quality import layer_counts, reconcile
 from stratica.plans.medallion import bronze, gold_points, silver
 from stratica.proofs import records
-from stratica.proofs.registry import proof
+from stratica.proofs.registry import proof, table
 from stratica.session import work_folder
 from stratica.sources import contracts as c
 from stratica.sources.tables import (
@@ -76,9 +77,9 @@ def layer_provisioning(spark: SparkSession, folder: str) -> DataFrame:
     prefix = f"p{uuid.uuid4().hex[:12]}_"
     provision(spark, prefix, work_folder(spark, "warehouse"))
     businesses, reviews = records.raw_layer(spark, folder)
-    append_by_position(businesses.where("NOT coalesce(categories, '') LIKE '%BUILDING%' AND business_id NOT IN ("
-                                        "SELECT CAST(c_custkey AS STRING) FROM customer WHERE c_mktsegment = 'BUILDING')"),
-                       f"{prefix}bronze.businesses")
+    absent = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
+    present = unmatched(businesses, absent.select(F.col("c_custkey").cast("string").alias("business_id")), "business_id")
+    append_by_position(present.select(businesses.columns), f"{prefix}bronze.businesses")
     append_by_position(reviews, f"{prefix}bronze.reviews")
     facts = silver(spark.table(f"{prefix}bronze.businesses"), spark.table(f"{prefix}bronze.reviews"))
     append_by_name(facts, f"{prefix}silver.reviews")

@@ -11,7 +11,6 @@ from stratica.operators.profile import distinct_counts, profile
 from stratica.operators.quality import layer_counts, reconcile, sink_audit
 from stratica.proofs.registry import proof, table
 from stratica.session import work_folder
-from stratica.sources.tables import folder_bytes
 
 
 def _raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,7 +110,6 @@ def layer_audit(spark: SparkSession, folder: str) -> DataFrame:
 )
 def sink_status_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and bytes of both sinks with their common status."""
-    sql_sink, vector_sink = table(spark, folder, "orders"), table(spark, folder, "embeddings")
-    stored = folder_bytes(sql_sink).select((F.col("bytes") > 0).alias("has_bytes"))
-    audit = sink_audit(sql_sink, vector_sink)
-    return audit.withColumn("one", F.lit(1)).join(stored.withColumn("one", F.lit(1)), "one").drop("one")
+    audit = sink_audit(table(spark, folder, "orders"), table(spark, folder, "embeddings"), with_bytes=True)
+    has_bytes = (F.col("sql_bytes") > 0) & (F.col("vector_bytes") > 0)
+    return audit.select("sql_rows", "vector_rows", "status", has_bytes.alias("has_bytes"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratica.functions.text import ERROR_TEXT, NO_HYBRID_TEXT
 from stratica.operators import analytics, filters, quality, upsert
-from stratica.operators.dedup import latest_by, one_per_entity
+from stratica.operators.dedup import latest_by, one_per_entity, salt_of
 from stratica.operators.embedding import HashingModel, embed
 from stratica.operators.joins import entity_join, in_list, restricted_to, unmatched
 from stratica.operators.profile import distinct_counts, profile
@@ -59,6 +59,12 @@ def test_entity_join_resolves_and_multiplies(spark):
         entity_join(entities.withColumn("f", F.lit(1)), facts, "k")
 
 
+def test_salts_spread_one_hot_row(spark):
+    copies = spark.range(0, 4000, 1, 40).select(F.lit("hot").alias("k"), F.lit("same").alias("v"))
+    share = copies.groupBy(salt_of(["k", "v"], 8).alias("salt")).count().agg(F.max("count")).first()[0]
+    assert share <= 1500
+
+
 def test_unmatched_keeps_null_keys(spark):
     _, facts = entities_and_facts(spark)
     matched = spark.createDataFrame([("a",), ("a",), (None,)], "k string")

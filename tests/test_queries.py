@@ -34,6 +34,8 @@ def test_query_equals_sql(spark, duck, name):
     result = duck.execute(entry_points.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(frame.columns) == sorted(columns)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert canonical([tuple(r) for r in frame.collect()], frame.columns) == canonical(result.fetchall(), columns)
 
 
