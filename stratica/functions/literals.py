@@ -8,8 +8,6 @@ Containers may nest one level; deeper ones, and escapes other than quotes, backs
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +113,3 @@ def unparsed(df: DataFrame, key: str, dicts: list[str] = (), scalars: list[str]
 def entries_as_columns(c: Column, names: dict[str, str]) -> list[Column]:
     """One column per known key of a map; a missing key is null."""
     return [F.try_element_at(c, F.lit(key)).alias(column) for key, column in names.items()]
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
