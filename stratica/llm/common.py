@@ -35,8 +35,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     folder = work_folder(spark, label)
     df.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
 
 
