@@ -61,11 +61,6 @@ def timestamp_or_null(c: Column) -> Column:
     return c.try_cast("timestamp")
 
 
-def merged_timestamp(*stamps: Column) -> Column:
-    """The later of several stamps, ignoring nulls."""
-    return F.greatest(*stamps)
-
-
 def blank_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -2,8 +2,8 @@
 
 The source writes values such as ``{'garage': False, u'street': True}`` or ``u'full_bar'``.
 Both are read with JVM regular expressions, so cleaning stays inside one codegen stage.
-Containers may nest one level; deeper ones, and escapes other than quotes, backslash and
-``\\n \\t \\r``, give null and show up in :func:`unparsed`.
+Containers may nest to any depth; escapes other than quotes, backslash and
+``\\n \\t \\r`` in a scalar give null and show up in :func:`unparsed`.
 """
 
 from __future__ import annotations
@@ -31,6 +31,14 @@ _VALUE = (
     rf"(?:{_ATOM}|{_sequence(_ATOM, '[(]', '[)]')}|"
     rf"{_sequence(_ATOM, '[\\[]', '[\\]]')}|{_sequence(_ATOM_PAIR, '[{]', '[}]')})"
 )
+# A container without containers in it. Replaced by a mark, level by level, it lets deeper dicts be read; a mark
+# may stand for a value or an item but not for a key.
+_MARK = "\x01"
+_ITEM = rf"(?:{_ATOM}|{_MARK})"
+_INNERMOST = "|".join(
+    (_sequence(_ITEM, "[(]", "[)]"), _sequence(_ITEM, r"[\[]", r"[\]]"), _sequence(_ITEM, "[{]", "[}]"),
+     _sequence(rf"{_ATOM}\s*:\s*{_ITEM}", "[{]", "[}]"))
+)
 _PAIR = rf"({_ATOM})\s*:\s*({_VALUE})"
 _DICT = rf"^[ \t]*{_sequence(rf'{_ATOM}\s*:\s*{_VALUE}', '[{]', '[}]')}\s*$"
 
@@ -51,11 +59,28 @@ def _without_quotes(text: Column) -> Column:
     return F.when(body.contains("\\"), _unescaped(body)).otherwise(body)
 
 
+def _flattened(c: Column) -> Column:
+    """A dict literal with an empty list for every nested container; other text comes out as no dict."""
+    inside = F.regexp_extract(c, r"(?s)^[ \t]*\{(.*)\}\s*$", 1)
+    levels = F.length(inside) - F.length(F.regexp_replace(inside, r"[(\[{]", ""))
+    closed = F.aggregate(
+        F.sequence(F.lit(1), levels), inside, lambda text, _: F.regexp_replace(text, _INNERMOST, _MARK)
+    )
+    usable = (inside != "") & (levels > 0) & ~inside.contains(_MARK)
+    return F.when(usable, F.concat(F.lit("{"), F.replace(closed, F.lit(_MARK), F.lit("[]")), F.lit("}")))
+
+
 def bool_dict(c: Column) -> Column:
     """``map<string,boolean>`` of the boolean entries of a dict literal, null if it is not one.
 
-    A repeated key takes its last value, and only then are non-boolean values dropped.
+    A repeated key takes its last value, and only then are non-boolean values dropped. Nested values count
+    as values of their key only.
     """
+    flat = F.when(c.rlike(_DICT), c).otherwise(_flattened(c))
+    return F.transform(F.array(flat), _flat_bool_dict)[0]
+
+
+def _flat_bool_dict(c: Column) -> Column:
     keys = F.transform(
         F.regexp_extract_all(c, F.lit(_PAIR), 1),
         lambda k: F.when(k.rlike(rf"^{_TEXT}$"), _without_quotes(k)).otherwise(k),

@@ -87,14 +87,17 @@ def routed(answer: Column, route: Column) -> Column:
 
 def route_of(reply: Column) -> Column:
     """Route named in a ``{"route": …}`` reply; anything unusable falls back."""
-    named = F.upper(F.from_json(reply, "route string")["route"])
+    # one JSON value and nothing after it, with the quotes JSON has
+    strict = F.json_array_length(F.concat(F.lit("["), reply, F.lit("]"))) == 1
+    named = F.upper(F.from_json(F.when(strict, reply), "route string", {"allowSingleQuotes": "false"})["route"])
     return F.when(named.isin(*ROUTES), named).otherwise(F.lit(FALLBACK_ROUTE))
 
 
 def content_text(content: Column) -> Column:
     """Plain text of a message: a JSON list of blocks gives its ``text`` parts, other text itself."""
-    blocks = F.from_json(content, "array<struct<text:string>>")
-    texts = F.filter(F.transform(blocks, lambda b: b["text"]), lambda t: t.isNotNull())
+    blocks = F.from_json(content, "array<variant>")
+    # elements that are no objects have no ``text``
+    texts = F.filter(F.transform(blocks, lambda b: F.try_variant_get(b, "$.text", "string")), lambda t: t.isNotNull())
     is_list = content.rlike(r"^\s*\[") & blocks.isNotNull()
     plain = F.when(is_list, F.array_join(texts, "\n")).otherwise(content)
     return F.regexp_replace(plain, r"^\s+|\s+$", "")

@@ -11,7 +11,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,10 +53,12 @@ def encode_frame(columns: list[Column], schema_id: int) -> Column:
     """Binary frame of nullable string columns, in contract order.
 
     One expression applied to every field in turn: spelling it out per field would outgrow the
-    method size codegen can handle on wide contracts.
+    method size codegen can handle on wide contracts. The fields are then joined at once, so no byte is
+    copied more than once for its field and once for the frame.
     """
     header = F.unhex(F.lit(f"{MAGIC_BYTE_HEX}{schema_id:08x}"))
-    return F.aggregate(F.array(*columns), header, lambda frame, c: F.concat(frame, _field(c)))
+    fields = F.transform(F.array(*columns), _field)
+    return F.transform(F.array(fields), lambda all_: F.concat(header, *[all_[i] for i in range(len(columns))]))[0]
 
 
 def frame_body(value: Column) -> Column:
@@ -68,31 +72,51 @@ def avro_schema(contract: T.StructType, name: str) -> str:
     return json.dumps({"type": "record", "name": name, "fields": fields})
 
 
-def _read_strings(body: bytes, count: int) -> list[str | None]:
-    values: list[str | None] = []
-    at = 0
-    for _ in range(count):
-        branch = body[at]
-        at += 1
-        if branch == 0:
-            values.append(None)
-            continue
-        if branch != 2:
-            raise ValueError(f"malformed frame: union branch byte {branch}")
-        length = shift = 0
-        while True:
-            byte = body[at]
-            at += 1
-            length |= (byte & 0x7F) << shift
-            shift += 7
-            if byte < 0x80:
-                break
-        end = at + (length >> 1)
-        if end > len(body):
-            raise ValueError("malformed frame: value runs past the end")
-        values.append(body[at:end].decode("utf-8"))
-        at = end
-    return values
+def _bodies(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The batch's bytes in one piece, and where each frame's body starts and ends in it; absent frames are empty."""
+    large = column.cast(pa.large_binary())
+    _, offsets, data = large.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[large.offset : large.offset + len(large) + 1]
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    return raw, ends[:-1].copy(), ends[1:]
+
+
+def _next_field(raw: np.ndarray, at: np.ndarray, end: np.ndarray, live: np.ndarray) -> pa.Array:
+    """One field of every live frame; ``at`` moves on. Frames advance together, a step per byte of a length."""
+    def byte() -> np.ndarray:
+        if (at[live] >= end[live]).any():
+            raise ValueError("malformed frame: it ends inside a field")
+        found = raw[at[live]].astype(np.int64)
+        at[live] += 1
+        return found
+
+    branch = np.zeros(len(at), dtype=np.int64)
+    branch[live] = byte()
+    if ((branch != 0) & (branch != 2)).any():
+        raise ValueError("malformed frame: unknown union branch")
+    present = live & (branch == 2)
+    length, shift, live = np.zeros(len(at), dtype=np.int64), 0, present
+    while live.any():
+        found = byte()
+        length[live] |= (found & 0x7F) << shift
+        shift += 7
+        live = live.copy()
+        live[live] = found >= 0x80
+    length >>= 1
+    start = at.copy()
+    at[present] += length[present]
+    if (at > end).any() or (length < 0).any():
+        raise ValueError("malformed frame: value runs past the end")
+    # the values' bytes, gathered into one buffer
+    size = np.where(present, length, 0)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, size)
+    values = pa.LargeStringArray.from_buffers(
+        len(at), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[place])),
+        pa.py_buffer(np.packbits(present, bitorder="little")),
+    )
+    values.validate(full=True)
+    return values.cast(pa.string())
 
 
 def _arrow_decoder(names: list[str]):
@@ -100,9 +124,10 @@ def _arrow_decoder(names: list[str]):
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_read_strings(body, len(names)) for body in batch.column(0).to_pylist()]
-            columns = zip(*rows) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], schema=schema)
+            raw, at, end = _bodies(batch.column(0))
+            live = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            columns = [_next_field(raw, at, end, live) for _ in names]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return decode
 
@@ -111,12 +136,15 @@ def has_avro(spark: SparkSession) -> bool:
     try:
         spark.range(0).select(F.expr("from_avro(X'00', '\"null\"', map())")).schema
         return True
-    except Exception:
+    except AnalysisException:
         return False
 
 
 def decode_frames(frames: DataFrame, contract: T.StructType, value: str = "value") -> DataFrame:
-    """Frames to contract columns: strip the header, read the body, expand the record."""
+    """Frames to contract columns: strip the header, read the body, expand the record.
+
+    A frame without a value (a tombstone) gives a row of nulls; a malformed one fails the job.
+    """
     body = frame_body(F.col(value)).alias("body")
     if has_avro(frames.sparkSession):
         from pyspark.sql.avro.functions import from_avro

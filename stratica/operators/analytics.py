@@ -12,14 +12,19 @@ def settled_round(c: Column, digits: int) -> Column:
     return F.coalesce(settled, F.round(c, digits))
 
 
-def average_by(df: DataFrame, group: str, metric: str, digits: int = 4, where: Column | None = None) -> DataFrame:
+def rounded(df: DataFrame, column: str, digits: int) -> DataFrame:
+    """A result with one column rounded for display."""
+    return df.withColumn(column, settled_round(F.col(column), digits))
+
+
+def average_by(df: DataFrame, group: str, metric: str, where: Column | None = None) -> DataFrame:
     rows = df if where is None else df.where(where)
-    return rows.groupBy(group).agg(settled_round(F.avg(metric), digits).alias(f"avg_{metric}"))
+    return rows.groupBy(group).agg(F.avg(metric).alias(f"avg_{metric}"))
 
 
-def total_by(df: DataFrame, group: str, metric: str, digits: int = 2, where: Column | None = None) -> DataFrame:
+def total_by(df: DataFrame, group: str, metric: str, where: Column | None = None) -> DataFrame:
     rows = df if where is None else df.where(where)
-    return rows.groupBy(group).agg(settled_round(F.sum(metric), digits).alias(f"sum_{metric}"))
+    return rows.groupBy(group).agg(F.sum(metric).alias(f"sum_{metric}"))
 
 
 def count_entities(df: DataFrame, entity: str, where: Column, group: str | None = None) -> DataFrame:
@@ -29,10 +34,10 @@ def count_entities(df: DataFrame, entity: str, where: Column, group: str | None
     return grouped.agg(F.count_distinct(entity).alias("entities"))
 
 
-def percentage_by(entities: DataFrame, group: str, flag: Column, digits: int = 4) -> DataFrame:
+def percentage_by(entities: DataFrame, group: str, flag: Column) -> DataFrame:
     """Share of entities with the flag, in percent. Unknown flags count as not having it."""
     has = F.coalesce(flag, F.lit(False)).cast("int")
-    return entities.groupBy(group).agg(settled_round(F.avg(has) * 100, digits).alias("pct"))
+    return entities.groupBy(group).agg((F.avg(has) * 100).alias("pct"))
 
 
 def top_groups(df: DataFrame, group: str, metric: Column, n: int, name: str = "metric") -> DataFrame:

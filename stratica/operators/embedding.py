@@ -15,8 +15,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratica.session import spread
-
 # Vector length, texts per call, and the two uses of a text.
 DIMS = 768
 BATCH = 100
@@ -60,8 +58,12 @@ def embed(
     task: str = DOCUMENT,
     batch: int = BATCH,
     into: str = "embedding",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Add the vector of a text column; a missing text is embedded as an empty one."""
+    """Add the vector of a text column; a missing text is embedded as an empty one.
+
+    ``partitions`` deals the texts out first, for an input that comes in fewer pieces than there are cores.
+    """
     model = model or HashingModel()
 
     @F.pandas_udf("array<float>")
@@ -72,4 +74,5 @@ def embed(
             found = np.concatenate(calls) if calls else np.zeros((0, model.dims))
             yield pd.Series(list(found.astype(np.float32)))
 
-    return spread(df).withColumn(into, vectors(F.col(text)))
+    dealt = df if partitions is None else df.repartition(partitions)
+    return dealt.withColumn(into, vectors(F.col(text)))

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratica.sources.contracts import HOURS, MUSIC_KEYS, PARKING_KEYS, WEEKDAYS
+from stratica.sources.contracts import HOURS, WEEKDAYS
 
 # How each filter field is compared (fixed values). "contains" is case-sensitive.
 BUSINESS_FILTERS = {
@@ -50,11 +50,16 @@ def _as_bool(value: Any) -> bool:
     raise ValueError(f"not a boolean: {value!r}")
 
 
+def _same_number(c: Column, value: float) -> Column:
+    """Equality in the column's own precision: a FLOAT 4.3 is not the DOUBLE 4.3."""
+    return F.when(F.typeof(c) == "float", c == F.lit(value).cast("float")).otherwise(c == F.lit(value))
+
+
 _COMPARE = {
     "contains": lambda c, v: c.contains(str(v)),
     "string": lambda c, v: c == str(v),
     "int": lambda c, v: c == int(v),
-    "float": lambda c, v: c == float(v),
+    "float": lambda c, v: _same_number(c, float(v)),
     "bool": lambda c, v: c == _as_bool(v),
 }
 
@@ -98,10 +103,6 @@ class FreeChoice:
         return Choice(self.column, self.kind, value)
 
 
-def _flags(**labels: str) -> dict[str, Choice]:
-    return {label.replace("_", " "): Choice(column, "bool", True) for label, column in labels.items()}
-
-
 # Selectable labels per group and what they mean (fixed values).
 BUSINESS_FACETS: dict[str, FreeChoice | dict[str, Choice]] = {
     "cities": FreeChoice("city", "string"),
@@ -115,35 +116,44 @@ BUSINESS_FACETS: dict[str, FreeChoice | dict[str, Choice]] = {
         "No Smoking": Choice("smoking", "string", "no"),
     },
     "price": {"$" * n: Choice("restaurants_price_range", "int", n) for n in (1, 2, 3, 4)},
-    "amenities": _flags(
-        Outdoor_Seating="outdoor_seating",
-        Delivery="restaurants_delivery",
-        Good_for_Kids="good_for_kids",
-        Reservations="restaurants_reservations",
-        Good_for_Groups="restaurants_good_for_groups",
-        Dogs_Allowed="dogs_allowed",
-    ),
-    "parking": {key.title(): Choice(column, "bool", True) for key, column in PARKING_KEYS.items()},
+    "amenities": {
+        "Outdoor Seating": Choice("outdoor_seating", "bool", True),
+        "Delivery": Choice("restaurants_delivery", "bool", True),
+        "Good for Kids": Choice("good_for_kids", "bool", True),
+        "Reservations": Choice("restaurants_reservations", "bool", True),
+        "Good for Groups": Choice("restaurants_good_for_groups", "bool", True),
+        "Dogs Allowed": Choice("dogs_allowed", "bool", True),
+    },
+    "parking": {
+        "Garage": Choice("parking_garage", "bool", True),
+        "Street": Choice("parking_street", "bool", True),
+        "Validated": Choice("parking_validated", "bool", True),
+        "Lot": Choice("parking_lot", "bool", True),
+        "Valet": Choice("parking_valet", "bool", True),
+    },
     "music": {
-        label: Choice(column, "bool", True)
-        for label, column in zip(
-            ["DJ", "Background", "No Music", "Jukebox", "Live", "Video", "Karaoke"], MUSIC_KEYS.values()
-        )
+        "DJ": Choice("music_dj", "bool", True),
+        "Background": Choice("music_background", "bool", True),
+        "No Music": Choice("music_no_music", "bool", True),
+        "Jukebox": Choice("music_jukebox", "bool", True),
+        "Live": Choice("music_live", "bool", True),
+        "Video": Choice("music_video", "bool", True),
+        "Karaoke": Choice("music_karaoke", "bool", True),
     },
     "hours": {day: Choice(HOURS[day], "present") for day in WEEKDAYS},
-    "more": _flags(
-        Bike_Parking="bike_parking",
-        Credit_Cards="business_accepts_credit_cards",
-        Bitcoin="business_accepts_bitcoin",
-        Drive_Thru="drive_thru",
-        Has_TV="has_tv",
-        Table_Service="restaurants_table_service",
-        Take_Out="restaurants_take_out",
-        Wheelchair_Accessible="wheelchair_accessible",
-        Open_24_Hours="open_24_hours",
-        By_Appointment_Only="by_appointment_only",
-        BYOB="byob",
-    ),
+    "more": {
+        "Bike Parking": Choice("bike_parking", "bool", True),
+        "Credit Cards": Choice("business_accepts_credit_cards", "bool", True),
+        "Bitcoin": Choice("business_accepts_bitcoin", "bool", True),
+        "Drive Thru": Choice("drive_thru", "bool", True),
+        "Has TV": Choice("has_tv", "bool", True),
+        "Table Service": Choice("restaurants_table_service", "bool", True),
+        "Take Out": Choice("restaurants_take_out", "bool", True),
+        "Wheelchair Accessible": Choice("wheelchair_accessible", "bool", True),
+        "Open 24 Hours": Choice("open_24_hours", "bool", True),
+        "By Appointment Only": Choice("by_appointment_only", "bool", True),
+        "BYOB": Choice("byob", "bool", True),
+    },
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratica.operators.dedup import STREAM_SALTS, salt_of
@@ -35,15 +35,18 @@ def entity_join(
     (a stream-static join) instead.
 
     Skew: a batch join is left to AQE, which splits an oversized partition at run time. Streams
-    have no AQE, so facts are salted and each entity row is repeated once per salt. The salt
-    mixes a hash of ``spread_by`` (all fact columns by default) with the input partition, so that
+    have no AQE, so where both sides are streams facts are salted and each entity row is repeated
+    once per salt; pass ``salts`` for a stream against entities at rest whose keys are hot. Outer joins
+    take no salts. The salt mixes a hash of ``spread_by`` (all fact columns by default) with the input partition, so that
     copies of one row spread as well; a retried task repeats its salts.
     """
     if how != "inner" and within is None and (entities.isStreaming and facts.isStreaming):
         raise ValueError("an outer stream-stream join never emits unmatched rows without a time bound")
+    if how != "inner" and (salts or 1) > 1:
+        raise ValueError("salts repeat the entities, which an outer join would show")
     streaming = entities.isStreaming or facts.isStreaming
     if salts is None:
-        salts = STREAM_SALTS if entities.isStreaming and facts.isStreaming else 1
+        salts = STREAM_SALTS if entities.isStreaming and facts.isStreaming and how == "inner" else 1
 
     left = entities.withColumnRenamed(stamp, _ENTITY_TS)
     right = facts.withColumnRenamed(stamp, _FACT_TS)
@@ -71,8 +74,10 @@ def entity_join(
     if clash:
         raise ValueError(f"rename columns present on both sides: {sorted(clash)}")
     later = F.greatest(F.col(f"e.{_ENTITY_TS}"), F.col(f"f.{_FACT_TS}"))
+    # an inner join has both keys; an outer one shows whichever side is there
+    own = F.col(f"e.{key}") if how == "inner" else F.coalesce(f"e.{key}", f"f.{key}")
     return joined.select(
-        [F.col(f"e.{c}") for c in entities.columns if c != stamp]
+        [own.alias(key) if c == key else F.col(f"e.{c}") for c in entities.columns if c != stamp]
         + [F.col(f"f.{c}") for c in facts.columns if c not in (key, stamp)]
         + [later.alias(stamp), F.to_date(later).alias(STAMP_DATE)]
     )
@@ -96,8 +101,3 @@ def restricted_to(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     if dict(ids.dtypes)[key] == "string":
         usable = usable.where(F.col(key) != "")
     return rows.join(usable.select(key).distinct(), key, "left_semi")
-
-
-def in_list(c: Column, values: list) -> Column:
-    """Membership in a short literal list; use :func:`restricted_to` for ids held in a frame."""
-    return c.isin(list(values))

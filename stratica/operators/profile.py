@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DISTINCT_THRESHOLD = 50
 TOP_VALUES = 20
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, value, n)`` for every distinct value, null included.
+    """``(column, value, size, n)`` for every distinct value, null included.
+
+    ``size`` is the number a numeric value stands for, to sort by.
 
     One scan: each row is turned into its (column, value) cells, which are pre-aggregated before
     the shuffle. Cells are shuffled by column and value, so a column with one dominant value is as
     cheap as any other.
     """
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ]
-    )
+    def size(c: str) -> Column:
+        numeric = isinstance(df.schema[c].dataType, T.NumericType)
+        return (F.col(c) if numeric else F.lit(None)).cast("double").alias("size")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), size(c)) for c in columns])
     return (
         df.select(F.explode(cells).alias("cell"))
-        .groupBy(F.col("cell.column").alias("column"), F.col("cell.value").alias("value"))
+        .groupBy(F.col("cell.column").alias("column"), F.col("cell.value").alias("value"), F.col("cell.size").alias("size"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -45,8 +47,10 @@ def profile(
     counts = value_counts(df, columns)
     # counting over n keeps this branch on the same shuffle as the two rankings
     distinct = counts.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("distinct_count"))
-    by_value = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_first())
-    by_count = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    # texts by their characters, numbers by size; longer digits decide where doubles no longer do
+    in_order = [F.col("value").isNotNull(), "size", F.when(F.col("size").isNotNull(), F.length("value")), "value"]
+    by_value = Window.partitionBy("column").orderBy(*in_order)
+    by_count = Window.partitionBy("column").orderBy(F.col("n").desc(), *in_order)
     listed = counts.withColumn("position", F.row_number().over(by_value)).where(
         F.col("position") <= threshold
     ).withColumn("listing", F.lit("all"))
@@ -62,11 +66,20 @@ def profile(
 
 
 def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    """One row of distinct counts with null as a value; the sketch form needs no shuffle of values."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(
-        *[
-            (count(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).cast("long").alias(c)
-            for c in columns
-        ]
-    )
+    """One row of distinct counts with null as a value; the sketch form needs no shuffle of values.
+
+    Exact counts shuffle a value once for each distinct value and task; values longer than a digest
+    go as their SHA-256.
+    """
+    if approximate:
+        return df.agg(
+            *[(F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("long").alias(c) for c in columns]
+        )
+
+    def short(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.when(F.length(value) > 64, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), short(c).alias("value")) for c in columns])
+    distinct = df.select(F.explode(cells).alias("cell")).select("cell.column", "cell.value").distinct()
+    return distinct.agg(*[F.count_if(F.col("column") == c).alias(c) for c in columns])

@@ -1,19 +1,32 @@
 """Keyed insert-or-overwrite without a table format.
 
-A batch lands in its own ``batch_id`` folder, which a replay overwrites; the current state is the
-latest row of each key over all batches. Writing costs what the batch costs, whatever the size of
-the table, and a lost executor or a second attempt changes nothing. :func:`compact` folds the
-history into a new folder when reads get slow.
+A batch lands in its own folder, named by the stream it comes from and its number there, so that a replay
+overwrites it and no other stream's batch does. The current state is the latest row of each key over all batches.
+Writing costs what the batch costs, whatever the size of the table, and a lost executor or a second
+attempt changes nothing. :func:`compact` folds the history into a new folder when reads get slow.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratica.operators.dedup import latest_by
 
-BATCH_ID = "batch_id"
+STREAM, BATCH_ID = "stream", "batch_id"
+#: Stream labels sort by age; batches written by hand and folded histories come before any stream.
+BY_HAND, FOLDED = "0-batch", "0"
+
+
+class BatchId(int):
+    """The number of a micro-batch, with the label of its stream."""
+
+    stream: str
+
+    def __new__(cls, number: int, stream: str):
+        made = super().__new__(cls, number)
+        made.stream = stream
+        return made
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -21,24 +34,36 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -
     return latest_by(target.unionByName(batch), key, order)
 
 
+def landing(path: str, batch_id: int) -> str:
+    return f"{path}/{STREAM}={getattr(batch_id, 'stream', BY_HAND)}/{BATCH_ID}={int(batch_id)}"
+
+
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Land one batch; the same id always lands in the same place. Keys should occur once in it."""
-    batch.drop(BATCH_ID).write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+    """Land one batch; the same stream and number always land in the same place. Keys should occur once in it."""
+    batch.drop(STREAM, BATCH_ID).write.mode("overwrite").parquet(landing(path, batch_id))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+    rows = spark.read.option("basePath", path).parquet(path)
+    return rows.withColumns({STREAM: F.col(STREAM).cast("string"), BATCH_ID: F.col(BATCH_ID).cast("long")})
 
 
 def current(spark: SparkSession, path: str, key: str, order: list[Column] | None = None) -> DataFrame:
-    """The latest row of each key; by default the one of the highest batch.
+    """The latest row of each key; by default that of the youngest stream's highest batch.
 
-    Either way the order must be total, and reading stays limited to the columns asked for.
+    Which rows are superseded is found on the key and the columns of the order alone; an anti-join takes them
+    out, so that wide columns are neither sorted nor, while the superseded rows are few, shuffled. The
+    order must be total within a key.
     """
     rows = read_batches(spark, path)
-    return latest_by(rows, key, order or [F.col(BATCH_ID).desc()], total=True).drop(BATCH_ID)
+    order = order or [F.col(STREAM).desc(), F.col(BATCH_ID).desc()]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    named = ["_key", STREAM, BATCH_ID]
+    old = rows.withColumn("_place", place).where("_place > 1").select(F.col(key).alias("_key"), STREAM, BATCH_ID)
+    same = rows[key].eqNullSafe(F.col("old._key")) & (rows[STREAM] == F.col("old.stream")) & (rows[BATCH_ID] == F.col("old.batch_id"))
+    return rows.join(old.toDF(*named).alias("old"), same, "left_anti").drop(STREAM, BATCH_ID)
 
 
 def compact(spark: SparkSession, path: str, into: str, key: str, order: list[Column] | None = None) -> None:
     """Write the current state as the first batch of a new folder, for later batches to follow."""
-    write_batch(current(spark, path, key, order), into, -1)
+    write_batch(current(spark, path, key, order), into, BatchId(-1, FOLDED))

@@ -1,8 +1,8 @@
 """Exact cosine search.
 
 Points stay where they are: a bounded block of query vectors travels to every task, each task
-keeps its own best k per query, and only those few rows are shuffled. Query sets larger than a
-block are searched block by block, so nothing grows with the query set but the number of passes.
+keeps its own best k per query, and only those few rows are shuffled. A block is as many query vectors as
+fit into 64 MB (10,000 of 768 dimensions), so one scan serves it; larger query sets take a scan per block.
 """
 
 from __future__ import annotations
@@ -19,10 +19,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from stratica.functions.vectors import has_dims
-from stratica.session import spread
 
 TOP_K = 10
-QUERY_BLOCK = 1024  # query vectors sent to the tasks at a time: 6 MB at 768 double dimensions
+QUERY_BYTES = 64 << 20  # query vectors sent to the tasks at a time: 10,000 of 768 double dimensions
 _CELLS = 1 << 22  # scores held at once in a task
 _NOISE_DIGITS = 9  # differences below this are summation noise, not similarity
 
@@ -60,7 +59,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 def _visible(lists: pa.Array, places: dict, width: int) -> np.ndarray:
     """Row by query mask out of each row's list of query ids."""
     mask = np.zeros((len(lists), width), dtype=bool)
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    rows = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
     mask[rows, [places[q] for q in lists.flatten().to_pylist()]] = True
     return mask
 
@@ -141,10 +140,11 @@ def _searched(
     output: T.StructType,
     k: int,
     dims: int,
-    block: int,
+    block: int | None,
 ) -> DataFrame:
     """One scoring pass per block of queries over the candidates that block may see."""
     query_id, point_id = output.names[:2]
+    block = block or max(1, QUERY_BYTES // (8 * dims))
     arrow = to_arrow_schema(output)
     passes = []
     for rows in _query_blocks(queries, query_id, block):
@@ -167,7 +167,7 @@ def vector_topk(
     query_vector: str = "query_vector",
     dims: int,
     where: Column | None = None,
-    block: int = QUERY_BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """Rows ``(query id, point id, score, rank)``: the k most similar points of every query.
 
@@ -177,7 +177,7 @@ def vector_topk(
     checked while scoring: as a filter it would have vectors computed in the same plan twice.
     """
     candidates = points if where is None else points.where(where)
-    candidates = spread(candidates.select(point_id, vector))
+    candidates = candidates.select(point_id, vector)
     wanted = queries.select(query_id, query_vector)
     output = _hit_schema(points, point_id, queries, query_id)
     return _searched(lambda ids: candidates, wanted, output, k, dims, block)
@@ -195,7 +195,7 @@ def restricted_topk(
     query_id: str = "query_id",
     query_vector: str = "query_vector",
     dims: int,
-    block: int = QUERY_BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """Top k where each query may only see the points of its own entities.
 
@@ -227,9 +227,19 @@ HIT_FIELDS = {
 }
 
 
-def with_payload(hits: DataFrame, payload: DataFrame, point_id: str = "point_id") -> DataFrame:
-    """Attach payload columns to the hits, reading them for the hits only."""
-    return hits.join(payload, point_id)
+BROADCAST_HITS = 200_000
+
+
+def with_payload(
+    hits: DataFrame, payload: DataFrame, point_id: str = "point_id", at_most: int | None = None
+) -> DataFrame:
+    """Attach payload columns to the hits.
+
+    ``at_most`` is how many hits there can be (k times the queries). Up to ``BROADCAST_HITS`` of them travel to
+    the payloads, which then are not shuffled; beyond it, or without a bound, the join is left to Spark.
+    """
+    small = at_most is not None and at_most <= BROADCAST_HITS
+    return (F.broadcast(hits) if small else hits).join(payload, point_id)
 
 
 def hit_view(hits: DataFrame, fields: dict[str, str] = HIT_FIELDS, keep: list[str] = ()) -> DataFrame:

@@ -95,10 +95,10 @@ def contexts(questions: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def shown_hits(hits: DataFrame, points: DataFrame) -> DataFrame:
-    """Hits with the fields an answer shows."""
+def shown_hits(hits: DataFrame, points: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Hits with the fields an answer shows; ``at_most`` bounds their number."""
     payload = points.select("point_id", *[n for n in c.PAYLOAD_FIELDS if n in points.columns])
-    return hit_view(with_payload(hits, payload), keep=["query_id", "rank", "point_id"])
+    return hit_view(with_payload(hits, payload, at_most=at_most), keep=["query_id", "rank", "point_id"])
 
 
 def answer(
@@ -114,4 +114,5 @@ def answer(
 
     ``questions`` carries ``query_id, query, route, sql_result, error, query_vector``.
     """
-    return contexts(questions, shown_hits(routed_search(points, questions, sql_ids, k, dims=dims, where=where), points))
+    hits = routed_search(points, questions, sql_ids, k, dims=dims, where=where)
+    return contexts(questions, shown_hits(hits, points, k * questions.count()))

@@ -11,17 +11,17 @@ from stratica.operators.embedding import DIMS, QUERY, embed
 from stratica.operators.vectors import hit_view, with_payload
 from stratica.plans.answers import contexts, routed_search
 from stratica.proofs.hashed import cells, scores
-from stratica.proofs.registry import proof, table, views
-from stratica.session import work_folder
+from stratica.proofs.registry import proof, stored_documents, table, views
 
-_REPLIES = """SELECT event_id, CASE event_id % 6
+_REPLIES = """SELECT event_id, CASE event_id % 8
+      WHEN 6 THEN '{"route": "SQL"} and more' WHEN 7 THEN '{''route'': ''SQL''}'
       WHEN 0 THEN '{"route": "sql"}' WHEN 1 THEN '{"route": "Vector"}' WHEN 2 THEN '{"route": "HYBRID"}'
       WHEN 3 THEN concat('{"route": "', event_type, '"}') WHEN 4 THEN 'route sql' WHEN 5 THEN '{"path": "SQL"}'
     END AS reply FROM events"""
 
 
 @proof(
-    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'SQL' WHEN 1 THEN 'VECTOR' ELSE 'HYBRID' END AS route FROM events"""
+    """SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'SQL' WHEN 1 THEN 'VECTOR' ELSE 'HYBRID' END AS route FROM events"""
 )
 def route_normalize(spark: SparkSession, folder: str) -> DataFrame:
     views(spark, folder, "events")
@@ -34,13 +34,12 @@ def route_normalize(spark: SparkSession, folder: str) -> DataFrame:
 )
 def content_text(spark: SparkSession, folder: str) -> DataFrame:
     """Messages stored as plain text or as a list of content blocks."""
-    blocks = F.to_json(
-        F.array(
-            F.struct(F.lit("text").alias("type"), F.col("text").alias("text")),
-            F.struct(F.lit("signature").alias("type"), F.lit(None).cast("string").alias("text")),
-            F.struct(F.lit("text").alias("type"), F.col("role").alias("text")),
-        )
-    )
+    parts = [
+        F.to_json(F.struct(F.lit(kind).alias("type"), text.alias("text")))
+        for kind, text in (("text", F.col("text")), ("signature", F.lit(None).cast("string")), ("text", F.col("role")))
+    ]
+    # a plain string between the blocks has no text field and is passed over
+    blocks = F.concat(F.lit("["), parts[0], F.lit(', "plain", '), parts[1], F.lit(","), parts[2], F.lit("]"))
     stored = F.when(F.col("role") == "user", F.concat(F.lit("  "), "text", F.lit("\n"))).otherwise(blocks)
     return table(spark, folder, "conversations").select("conv_id", "turn", text_of(stored).alias("body"))
 
@@ -59,14 +58,6 @@ def _score_sql(score: str) -> str:
     return f"CAST(round({score}, 4) AS VARCHAR)"
 
 
-def _stored_points(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """Documents embedded once into a table of points, which the two kinds of search both read."""
-    at = work_folder(spark, "document-points")
-    rows = documents.select(F.col("doc_id").alias("point_id"), F.col("source").alias("business_id"), "text")
-    embed(rows, "text").drop("text").write.parquet(at)
-    return spark.read.parquet(at)
-
-
 @proof(
     f"""WITH {cells("b", "item_id", "text", "benchmark")}, {cells("d", "doc_id", "text", "documents")},
         {scores("b", "d", pairs=_VISIBLE)},
@@ -90,7 +81,7 @@ def context_render(spark: SparkSession, folder: str) -> DataFrame:
     """A batch of questions by route, with the context each is answered from."""
     views(spark, folder, "benchmark")
     documents = table(spark, folder, "documents")
-    points = _stored_points(spark, documents)
+    points = stored_documents(spark, folder).withColumnRenamed("source", "business_id")
     asked = spark.sql(
         f"SELECT item_id AS query_id, text AS query, {_ROUTE} AS route, {_SQL_RESULT} AS sql_result, {_ERROR} AS error "
         "FROM benchmark"
@@ -111,5 +102,5 @@ def context_render(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_chars").alias("business_stars"),
         "text",
     )
-    shown = hit_view(with_payload(hits, payload), keep=["query_id", "rank"])
+    shown = hit_view(with_payload(hits, payload, at_most=10 * asked.count()), keep=["query_id", "rank"])
     return contexts(asked, shown)

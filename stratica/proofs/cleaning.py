@@ -16,7 +16,7 @@ from stratica.sources import contracts as c
 @proof(records.expected_businesses())
 def silver_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Every typed business column out of raw text."""
-    return clean_businesses(records.raw_layer(spark, folder)[0]).drop(c.STAMP)
+    return clean_businesses(records.raw_businesses(spark, folder)).drop(c.STAMP)
 
 
 _NUMBERS = """SELECT o_orderkey, CASE o_orderkey % 8
@@ -51,6 +51,7 @@ def numeric_cast(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _DICTS = """SELECT p_partkey, CASE p_partkey % 7
+      WHEN 6 THEN '{''garage'': True, ''x'': {''y'': {''z'': [1, (2, {''w'': False})]}}, ''lot'': False}'
       WHEN 0 THEN concat('{''garage'': ', CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END, ', ''street'': True}')
       WHEN 1 THEN '{u''valet'': False, u''garage'': None}'
       WHEN 2 THEN 'None'
@@ -61,11 +62,11 @@ _DICTS = """SELECT p_partkey, CASE p_partkey % 7
 
 
 @proof(
-    """SELECT p_partkey, p_partkey % 7 IN (0, 1, 3, 5) AS is_dict,
-         CASE p_partkey % 7 WHEN 0 THEN p_size > 25 WHEN 5 THEN false END AS garage,
+    """SELECT p_partkey, p_partkey % 7 IN (0, 1, 3, 5, 6) AS is_dict,
+         CASE p_partkey % 7 WHEN 0 THEN p_size > 25 WHEN 5 THEN false WHEN 6 THEN true END AS garage,
          CASE p_partkey % 7 WHEN 0 THEN true END AS street,
          CASE p_partkey % 7 WHEN 1 THEN false END AS valet,
-         CAST(CASE p_partkey % 7 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 3 THEN 0 WHEN 5 THEN 1 END AS INTEGER) AS entries
+         CAST(CASE p_partkey % 7 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 3 THEN 0 WHEN 5 THEN 1 WHEN 6 THEN 2 END AS INTEGER) AS entries
        FROM part"""
 )
 def dict_literal_parse(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,6 +19,7 @@ from stratica.sources.tables import (
     append_by_position,
     ensure_dedup_view,
     provision,
+    reset,
 )
 from stratica.sources.topics import to_frames
 
@@ -63,6 +64,33 @@ def gold_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return points.select("review_id", "embedding_text", "payload")
 
 
+@proof("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
+def dedup_view_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalog table loaded twice with the same stamps, seen through its dedup view."""
+    database = f"d{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_folder(spark, 'dedup-view')}'")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", F.lit(1).alias("stamp"))
+    for _ in range(2):
+        orders.write.mode("append").saveAsTable(f"{database}.orders")
+    ensure_dedup_view(spark, f"{database}.orders", "o_orderkey", "stamp DESC")
+    return spark.table(f"{database}.orders_deduped").drop("stamp")
+
+
+@proof(
+    """SELECT 'before' AS phase, count(*) AS n FROM orders UNION ALL SELECT 'after', 0"""
+)
+def layer_reset(spark: SparkSession, folder: str) -> DataFrame:
+    """A layer filled, dropped with everything in it, and provisioned anew."""
+    prefix = f"r{uuid.uuid4().hex[:12]}_"
+    provision(spark, prefix, work_folder(spark, "before"))
+    append_by_position(records.raw_reviews(spark, folder), f"{prefix}bronze.reviews")
+    before = spark.table(f"{prefix}bronze.reviews").count()
+    reset(spark, "bronze", "silver", "gold", prefix=prefix)
+    provision(spark, prefix, work_folder(spark, "after"))
+    after = spark.table(f"{prefix}bronze.reviews").agg(F.lit("after").alias("phase"), F.count(F.lit(1)).alias("n"))
+    return spark.createDataFrame([("before", before)], after.schema).unionByName(after)
+
+
 @proof(
     """WITH j AS (SELECT c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey)
        SELECT 'bronze.businesses' AS layer, count(*) AS n FROM customer WHERE c_mktsegment <> 'BUILDING'

@@ -67,9 +67,9 @@ def _profile_sql(name: str, column: str) -> str:
         SELECT *, CASE WHEN distinct_count <= 50 THEN 'all' ELSE 'top' END AS listing,
                CASE WHEN distinct_count <= 50 THEN by_value ELSE by_count END AS position
         FROM (SELECT value, n, count(*) OVER () AS distinct_count,
-                     CAST(row_number() OVER (ORDER BY value NULLS FIRST) AS INTEGER) AS by_value,
-                     CAST(row_number() OVER (ORDER BY n DESC, value NULLS FIRST) AS INTEGER) AS by_count
-              FROM (SELECT CAST({column} AS VARCHAR) AS value, count(*) AS n FROM {name} GROUP BY ALL)))
+                     CAST(row_number() OVER (ORDER BY typed NULLS FIRST) AS INTEGER) AS by_value,
+                     CAST(row_number() OVER (ORDER BY n DESC, typed NULLS FIRST) AS INTEGER) AS by_count
+              FROM (SELECT {column} AS typed, CAST({column} AS VARCHAR) AS value, count(*) AS n FROM {name} GROUP BY ALL)))
       WHERE listing = 'all' OR position <= 20"""
 
 
@@ -105,11 +105,18 @@ def layer_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @proof(
-    """SELECT (SELECT count(*) FROM orders) AS sql_rows, (SELECT count(*) FROM embeddings) AS vector_rows,
-              'BOTH SINKS ACTIVE' AS status, true AS has_bytes"""
+    """WITH n AS (SELECT (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM embeddings) AS e)
+       SELECT o AS sql_rows, e AS vector_rows, 'BOTH SINKS ACTIVE' AS status, true AS has_bytes FROM n
+       UNION ALL SELECT o, 0, 'SQL only (vector empty)', true FROM n UNION ALL SELECT 0, e, 'Vector only (SQL empty)', true FROM n
+       UNION ALL SELECT 0, 0, 'BOTH SINKS EMPTY', false FROM n"""
 )
 def sink_status_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and bytes of both sinks with their common status."""
-    audit = sink_audit(table(spark, folder, "orders"), table(spark, folder, "embeddings"), with_bytes=True)
-    has_bytes = (F.col("sql_bytes") > 0) & (F.col("vector_bytes") > 0)
-    return audit.select("sql_rows", "vector_rows", "status", has_bytes.alias("has_bytes"))
+    """Rows and bytes of both sinks with their common status, in each of the four states."""
+    orders, points = table(spark, folder, "orders"), table(spark, folder, "embeddings")
+    no_orders, no_points = orders.where("o_orderkey IS NULL"), points.where("vec_id IS NULL")
+    audits = [
+        sink_audit(sql, vectors, with_bytes=True)
+        for sql, vectors in ((orders, points), (orders, no_points), (no_orders, points), (no_orders, no_points))
+    ]
+    has_bytes = F.col("sql_bytes") + F.col("vector_bytes") > 0
+    return reduce(DataFrame.unionByName, audits).select("sql_rows", "vector_rows", "status", has_bytes.alias("has_bytes"))

@@ -17,7 +17,7 @@ from stratica.plans.answers import filtered_search, hybrid_search
 from stratica.plans.medallion import clean_businesses, silver
 from stratica.proofs import records
 from stratica.proofs.hashed import cells, scores
-from stratica.proofs.registry import proof, table
+from stratica.proofs.registry import proof, stored_documents, table
 from stratica.sources.tables import analytics_view, guarded
 
 _VIEW = "gold_reviews_deduped"
@@ -79,7 +79,7 @@ def question_top_cities_by_rating(spark: SparkSession, folder: str) -> DataFrame
 def question_outdoor_share(spark: SparkSession, folder: str) -> DataFrame:
     """Share of businesses with outdoor seating by city."""
     entities = one_per_entity(_view(spark, folder), "business_id", ["city", "outdoor_seating"])
-    return analytics.percentage_by(entities, "city", F.col("outdoor_seating"))
+    return analytics.rounded(analytics.percentage_by(entities, "city", F.col("outdoor_seating")), "pct", 4)
 
 
 @proof(
@@ -93,17 +93,17 @@ def question_open_sundays(spark: SparkSession, folder: str) -> DataFrame:
         "hours": ["Sunday"], "ambiance": ["Free WiFi"], "amenities": ["Delivery"],
         "price": ["$$", "$$$"], "categories": ["HOUSEHOLD", "BUILDING"],
     }
-    entities = clean_businesses(records.raw_layer(spark, folder)[0])
+    entities = clean_businesses(records.raw_businesses(spark, folder))
     return facet_filter(entities, chosen).select("business_id", "city", "wifi", "hours_sunday")
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as embedded reviews, with the columns of their business."""
-    entities = clean_businesses(records.raw_layer(spark, folder)[0])
-    documents = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("point_id"), F.col("doc_id").cast("string").alias("business_id"), "text"
+    """Documents as stored points, with the columns of their business."""
+    entities = clean_businesses(records.raw_businesses(spark, folder))
+    stored = stored_documents(spark, folder).select(
+        "point_id", F.col("point_id").cast("string").alias("business_id"), "embedding"
     )
-    return embed(documents.join(entities, "business_id"), "text")
+    return stored.join(entities, "business_id")
 
 
 def _asked(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +126,7 @@ def _shown(hits: DataFrame) -> DataFrame:
 
 def _within(spark: SparkSession, folder: str, ids) -> DataFrame:
     """Search within the businesses ``ids`` selects from the entity table."""
-    entities = clean_businesses(records.raw_layer(spark, folder)[0])
+    entities = clean_businesses(records.raw_businesses(spark, folder))
     return _shown(
         hybrid_search(_points(spark, folder), _asked(spark, folder), ids(entities), "business_id", dims=DIMS)
     )

@@ -10,7 +10,7 @@ from stratica.proofs import records
 from stratica.proofs.registry import proof, table
 from stratica.session import work_folder
 from stratica.sources import contracts as c
-from stratica.sources.ndjson import infer_ndjson, write_ndjson
+from stratica.sources.ndjson import infer_ndjson, malformed, parse_records, read_ndjson, write_ndjson
 from stratica.sources.topics import to_frames, write_topic
 
 
@@ -42,6 +42,47 @@ def input_cap(spark: SparkSession, folder: str) -> DataFrame:
     return scanned.orderBy("event_id").limit(1000).select("event_id", "event_type", "props.k")
 
 
+@proof("SELECT count(*) AS whole, count(*) - 7 AS capped FROM events")
+def input_cap_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The scan's own cap, seven records below what the file holds; zero reads all."""
+    at = _event_lines(spark, folder)
+    nested = c.strings("event_id", "event_type")
+    whole = read_ndjson(spark, at, nested).count()
+    capped = read_ndjson(spark, at, nested, limit=whole - 7, partitions=4)
+    return capped.agg(F.lit(whole).cast("long").alias("whole"), F.count(F.lit(1)).alias("capped"))
+
+
+@proof(
+    """SELECT event_id % 3 <> 0 AS kept, count(*) AS lines FROM events GROUP BY ALL"""
+)
+def ndjson_set_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken lines and lines that are no object are set aside, the others are read."""
+    nested = c.strings("event_id", "event_type")
+    whole = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type"))
+    broken = F.when(F.col("event_id") % 6 == 0, F.lit('{"event_id": broken')).otherwise(F.lit("[1, 2]"))
+    lines = table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 3 == 0, broken).otherwise(whole).alias("value")
+    )
+    read = parse_records(lines, nested, fail=False).where("event_id IS NOT NULL AND event_type IS NOT NULL")
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("lines")).select(F.lit(kept).alias("kept"), "lines")
+        for kept, rows in ((True, read), (False, malformed(lines, nested)))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@proof(
+    """SELECT column_name AS path, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+              ELSE 'timestamp_ntz' END AS type, (SELECT count(*) FROM orders) AS table_rows
+       FROM duckdb_columns() WHERE table_name = 'orders'"""
+)
+def schema_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The schema tree of a table with its row count."""
+    orders = table(spark, folder, "orders")
+    counted = orders.agg(F.count(F.lit(1)).alias("table_rows")).first()["table_rows"]
+    return c.describe_schema(orders).select("path", "type", F.lit(counted).alias("table_rows"))
+
+
 @proof(records.expected_business_text())
 def ndjson_contract_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Nested records through the 56-field all-string contract."""

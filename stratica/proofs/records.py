@@ -154,20 +154,22 @@ def landed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def raw_layer(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Raw tables of both types, written in parquet with fixed stamps."""
-    root = work_folder(spark, "raw")
+def _raw(source: DataFrame, contract: T.StructType, at: str) -> DataFrame:
+    rows = c.conform(c.stringify(c.flatten(source)), contract)
+    return rows.select("*", F.lit(at).alias(c.STAMP), F.lit(at[:10]).alias(c.STAMP_DATE))
 
-    def land(source: DataFrame, contract: T.StructType, at: str, name: str) -> DataFrame:
-        rows = c.conform(c.stringify(c.flatten(source)), contract)
-        stamped = rows.select("*", F.lit(at).alias(c.STAMP), F.lit(at[:10]).alias(c.STAMP_DATE))
-        stamped.write.parquet(f"{root}/{name}")
-        return spark.read.schema(c.with_stamps(contract)).parquet(f"{root}/{name}")
 
-    return (
-        land(business_source(spark, folder), c.BUSINESS, BUSINESS_AT, "businesses"),
-        land(review_source(spark, folder), c.REVIEW, REVIEW_AT, "reviews"),
-    )
+def raw_businesses(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw business rows with a fixed stamp."""
+    return _raw(business_source(spark, folder), c.BUSINESS, BUSINESS_AT)
+
+
+def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    return _raw(review_source(spark, folder), c.REVIEW, REVIEW_AT)
+
+
+def raw_layer(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return raw_businesses(spark, folder), raw_reviews(spark, folder)
 
 
 # --- What the comparison SQL expects -----------------------------------------------------------

@@ -73,12 +73,12 @@ _FACTS = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationk
 
 @proof(f"SELECT n_name, CAST(round(CAST(avg(o_totalprice) AS DECIMAL(38,8)), 4) AS DOUBLE) AS avg_o_totalprice FROM {_FACTS} GROUP BY n_name")
 def sql_avg_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics.average_by(_fact_view(spark, folder), "n_name", "o_totalprice")
+    return analytics.rounded(analytics.average_by(_fact_view(spark, folder), "n_name", "o_totalprice"), "avg_o_totalprice", 4)
 
 
 @proof(f"SELECT c_mktsegment, CAST(round(CAST(sum(o_totalprice) AS DECIMAL(38,8)), 2) AS DOUBLE) AS sum_o_totalprice FROM {_FACTS} GROUP BY c_mktsegment")
 def sql_sum_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics.total_by(_fact_view(spark, folder), "c_mktsegment", "o_totalprice")
+    return analytics.rounded(analytics.total_by(_fact_view(spark, folder), "c_mktsegment", "o_totalprice"), "sum_o_totalprice", 2)
 
 
 @proof(
@@ -98,7 +98,7 @@ def sql_count_entities(spark: SparkSession, folder: str) -> DataFrame:
 def sql_pct_by_group(spark: SparkSession, folder: str) -> DataFrame:
     """Share of entities in debt, counted once per entity of a fact-grain view."""
     entities = one_per_entity(_fact_view(spark, folder), "c_custkey", ["c_mktsegment", "c_acctbal"])
-    return analytics.percentage_by(entities, "c_mktsegment", F.col("c_acctbal") < 0)
+    return analytics.rounded(analytics.percentage_by(entities, "c_mktsegment", F.col("c_acctbal") < 0), "pct", 4)
 
 
 @proof(
@@ -132,7 +132,7 @@ def sql_like_filter(spark: SparkSession, folder: str) -> DataFrame:
 @proof(
     """SELECT p_partkey, p_name, p_brand, p_type, p_size, 'colour,p_type' AS skipped FROM part
        WHERE p_brand = 'Brand#7' AND contains(p_name, 'bolt') AND p_size = 11
-          OR p_brand = 'Brand#12' AND contains(p_name, 'red')"""
+          OR p_brand = 'Brand#12' AND contains(p_name, 'red') OR CAST(p_retailprice AS FLOAT) = CAST(900.9 AS FLOAT)"""
 )
 def filter_compile(spark: SparkSession, folder: str) -> DataFrame:
     """Two filter dictionaries; empty values ask nothing, unknown and unfit ones are reported."""
@@ -140,9 +140,11 @@ def filter_compile(spark: SparkSession, folder: str) -> DataFrame:
     first = compile_filter({"p_brand": "Brand#7", "p_name": "bolt", "p_size": "11", "colour": "red",
                             "p_type": "maybe"}, spec)
     second = compile_filter({"p_brand": "Brand#12", "p_name": "red", "p_size": None}, spec)
+    third = compile_filter({"price": "900.9"}, {"price": "float"})
     skipped = F.lit(",".join(first.skipped + second.skipped))
-    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return parts.where(first.predicate | second.predicate).withColumn("skipped", skipped)
+    parts = table(spark, folder, "part").withColumn("price", F.col("p_retailprice").cast("float"))
+    parts = parts.where(first.predicate | second.predicate | third.predicate).withColumn("skipped", skipped)
+    return parts.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "skipped")
 
 
 _PART_FACETS = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +13,11 @@ from stratica.operators.upsert import current, read_batches
 from stratica.plans.medallion import start_bronze, vector_sink
 from stratica.proofs import records
 from stratica.proofs.registry import proof, table
-from stratica.session import spread, work_folder
+from stratica.session import work_folder
 from stratica.sources import contracts as c
-from stratica.sources.tables import read_folder_stream
+from stratica.sources.tables import read_folder_stream, read_table_stream
 from stratica.sources.topics import to_frames, write_topic
-from stratica.streaming.monitor import progress_table, supervise
+from stratica.streaming.monitor import ProgressLog, supervise
 from stratica.streaming.sinks import append_sink, fan_out, replay, start_table_sink
 
 
@@ -29,7 +31,7 @@ def _drain(query) -> None:
 def _staged(df: DataFrame, label: str) -> str:
     """The frame as a folder of at least a file per core, so that streams see several batches."""
     at = work_folder(df.sparkSession, label)
-    spread(df).write.parquet(at)
+    df.repartition(df.sparkSession.sparkContext.defaultParallelism).write.parquet(at)
     return at
 
 
@@ -145,8 +147,8 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @proof(
-    """SELECT 'sql' AS sink, count(*) AS n, count(DISTINCT doc_id) AS keys, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
-       UNION ALL SELECT 'vector', count(*), count(DISTINCT doc_id), CAST(sum(length(text)) AS BIGINT) FROM documents"""
+    """SELECT sink, CAST(doc_id AS VARCHAR) AS review_id, source AS name, md5(text) AS text_md5
+       FROM documents, (VALUES ('sql'), ('vector')) AS s(sink)"""
 )
 def gold_fanout_stream(spark: SparkSession, folder: str) -> DataFrame:
     """One stream into an analytic and a vector sink; the vector sink fails once and is replayed twice."""
@@ -165,17 +167,68 @@ def gold_fanout_stream(spark: SparkSession, folder: str) -> DataFrame:
     replay(spark, f"{at}/dead", {"vector": vectors})
     replay(spark, f"{at}/dead", {"vector": vectors})
 
-    def summary(name: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(
-            F.lit(name).alias("sink"), F.count(F.lit(1)).alias("n"),
-            F.count_distinct("review_id").alias("keys"), F.sum(F.length("text")).alias("chars"),
-        )
+    def content(name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(name).alias("sink"), "review_id", "name", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
-    return summary("sql", read_batches(spark, f"{at}/sql")).unionByName(
-        summary("vector", current(spark, f"{at}/vector", "point_id"))
+    return content("sql", read_batches(spark, f"{at}/sql")).unionByName(
+        content("vector", current(spark, f"{at}/vector", "point_id"))
     )
 
 
+@proof("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def append_across_checkpoints(spark: SparkSession, folder: str) -> DataFrame:
+    """One sink fed from two checkpoints, the second started over: every row lands, none twice."""
+    at = work_folder(spark, "append")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    for half in (0, 1, 1):
+        staged = f"{at}/in-{half}"
+        orders.where(F.col("o_orderkey") % 2 == half).repartition(4).write.mode("ignore").parquet(staged)
+        stream = read_folder_stream(spark, staged, orders.schema, 2)
+        _drain(fan_out(stream, {"sql": append_sink(f"{at}/sql")}, f"{at}/checkpoint-{half}", f"{at}/dead", trigger=None))
+    return read_batches(spark, f"{at}/sql").drop("stream", "batch_id")
+
+
+@proof("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def catalog_table_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalog table read as a stream into another catalog table, in two runs of one checkpoint."""
+    at, database = work_folder(spark, "catalog"), f"s{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{at}/database'")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    for half in (0, 1):
+        arrived = customers.where(F.col("c_custkey") % 2 == half).repartition(4)
+        arrived.write.mode("append").saveAsTable(f"{database}.arrivals")
+        stream = read_table_stream(spark, f"{database}.arrivals", _per_trigger(spark))
+        _drain(start_table_sink(stream, "catalog_stream", f"{at}/checkpoint", ["c_mktsegment"],
+                                table=f"{database}.landed", trigger=None))
+    return spark.table(f"{database}.landed")
+
+
+@proof(
+    """SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id
+       FROM events s JOIN events p ON s.user_id = p.user_id AND s.event_type = 'signup' AND p.event_type = 'purchase'
+        AND p.ts BETWEEN s.ts - INTERVAL 1 DAY AND s.ts + INTERVAL 1 DAY"""
+)
+def stream_join_late(spark: SparkSession, folder: str) -> DataFrame:
+    """A bounded join over three arrivals and restarts; the third repeats the first days, too late to join."""
+    at = work_folder(spark, "late-join")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    early = F.col("ts") < "2024-01-25"
+    late = events.where("ts < '2024-01-08'").withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    sides = {"signup": "signup_id", "purchase": "purchase_id"}
+    schema = "user_id long, {} long, ts timestamp"
+    for arrived in (events.where(early), events.where(~early), late):
+        for kind, name in sides.items():
+            rows = arrived.where(F.col("event_type") == kind)
+            rows.select("user_id", F.col("event_id").alias(name), "ts").coalesce(1).write.mode("append").parquet(f"{at}/{kind}")
+        left, right = (
+            spark.readStream.schema(schema.format(name)).parquet(f"{at}/{kind}") for kind, name in sides.items()
+        )
+        joined = entity_join(left, right, "user_id", stamp="ts", within="1 day", spread_by=["purchase_id"])
+        _drain(joined.select("user_id", "signup_id", "purchase_id").writeStream.format("parquet")
+               .option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/rows"))
+    return spark.read.parquet(f"{at}/rows")
+
+
 def _document_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in the shape of typed facts; columns they have no value for are null."""
     documents = table(spark, folder, "documents").select(
@@ -193,15 +246,18 @@ def _document_facts(spark: SparkSession, folder: str) -> DataFrame:
        UNION ALL SELECT 'progress_orders', count(*) FROM orders"""
 )
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows each of two queries has read, from their progress."""
+    """Rows each of two queries has read, one of them in over a hundred batches, from a listener's log."""
     at = work_folder(spark, "progress")
+    log = ProgressLog(spark, f"{at}/log", lot=50)
     queries = []
-    for query, name in (("progress_customers", "customer"), ("progress_orders", "orders")):
+    for query, name, files in (("progress_customers", "customer", 110), ("progress_orders", "orders", 4)):
         rows = table(spark, folder, name)
-        stream = read_folder_stream(spark, _staged(rows, name), rows.schema, _per_trigger(spark))
+        rows.repartition(files).write.parquet(f"{at}/in-{name}")
+        stream = read_folder_stream(spark, f"{at}/in-{name}", rows.schema, 1)
         queries.append(
-            stream.writeStream.queryName(query).format("parquet")
-            .option("checkpointLocation", f"{at}/checkpoint-{name}").trigger(availableNow=True).start(f"{at}/{name}")
+            stream.writeStream.queryName(query).format("noop")
+            .option("checkpointLocation", f"{at}/checkpoint-{name}").trigger(availableNow=True).start()
         )
     supervise(spark, queries, until_all_done=True)
-    return progress_table(spark, queries).groupBy("query").agg(F.max("total_rows").alias("total_rows"))
+    log.detach(*queries)
+    return log.rows().groupBy("query").agg(F.max("total_rows").alias("total_rows"))

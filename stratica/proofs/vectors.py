@@ -11,7 +11,7 @@ from stratica.operators.vectors import dimension_report, hit_view, ranked, vecto
 from stratica.operators.upsert import current, write_batch
 from stratica.plans.answers import hybrid_search
 from stratica.proofs.hashed import cells, scores
-from stratica.proofs.registry import proof, table
+from stratica.proofs.registry import proof, stored_documents, table
 from stratica.session import work_folder
 
 VECTOR_DIMS = 64
@@ -169,7 +169,7 @@ def embed_documents(spark: SparkSession, folder: str) -> DataFrame:
 )
 def semantic_search(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark passage as a question, its ten most similar documents."""
-    documents = embed(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    documents = stored_documents(spark, folder).withColumnRenamed("point_id", "doc_id")
     questions = embed(
         table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text"),
         "text", task=QUERY, into="query_vector",

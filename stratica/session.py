@@ -44,8 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is ever reused or deleted by name."""
-    return f"{shared_folder(spark)}/stratica/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, never reused; it goes when the application ends."""
+    folder = f"{shared_folder(spark)}/stratica/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -54,18 +57,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for Python work on an input too small to fill them.
-
-    Rows are redistributed only while the estimated size is below one scan split per core, so the
-    shuffle is small by construction; larger inputs already come in enough partitions.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,17 +23,42 @@ def _as_booleans(schema: T.StructType) -> T.StructType:
     )
 
 
-def parse_records(lines: DataFrame, nested: T.StructType, line: str = "value") -> DataFrame:
+_BROKEN = "_broken_line"
+
+
+def _text_reading(line: str, nested: T.StructType) -> Column:
+    """The record as text; a line that is no JSON object stands whole in the field ``_BROKEN``."""
+    with_rest = T.StructType([*nested.fields, T.StructField(_BROKEN, T.StringType())])
+    return F.from_json(line, with_rest, {"columnNameOfCorruptRecord": _BROKEN})
+
+
+def malformed(lines: DataFrame, nested: T.StructType, line: str = "value") -> DataFrame:
+    """The lines that are no JSON object of the given layout, to be set aside."""
+    return lines.where(~_is_object(line) | _text_reading(line, nested)[_BROKEN].isNotNull())
+
+
+def _is_object(line: str) -> Column:
+    return F.col(line).rlike(r"^\s*\{")
+
+
+def parse_records(lines: DataFrame, nested: T.StructType, line: str = "value", fail: bool = True) -> DataFrame:
     """Flat all-string columns of JSON records with the given nested layout.
 
     Numbers keep the text they were written with. JSON booleans are spelled ``True``/``False``;
-    a second, boolean-typed reading of the record tells them from the strings "true"/"false".
-    Each reading is one column of an inner projection, so a record is parsed twice and not once
-    per field.
+    a second, boolean-typed reading tells them from the strings "true"/"false", and is made of
+    records that hold a bare ``true`` or ``false`` only. Each reading is one column of an inner projection,
+    so a record is not parsed once per field.
+
+    A line that is no JSON object fails the job; with ``fail=False`` it is left out, for
+    :func:`malformed` to give.
     """
+    bare = F.col(line).rlike(r"[:\[,]\s*(true|false)\b")
     parsed = lines.select(
-        F.from_json(line, nested).alias("text"), F.from_json(line, _as_booleans(nested)).alias("flag")
+        line, _text_reading(line, nested).alias("text"), F.when(bare, F.from_json(line, _as_booleans(nested))).alias("flag")
     )
+    broken = ~_is_object(line) | F.col(f"text.{_BROKEN}").isNotNull()
+    stop = F.raise_error(F.concat(F.lit("malformed record: "), F.left(F.col(line), F.lit(200)))).cast("boolean")
+    parsed = parsed.where(F.when(broken, stop if fail else F.lit(False)).otherwise(True))
     columns = []
     for name, _, _ in leaves(nested):
         path = ".".join(f"`{step}`" for step in leaf_path(name, nested))
@@ -60,16 +85,23 @@ def read_ndjson(
     nested: T.StructType,
     contract: T.StructType | None = None,
     limit: int = 0,
+    partitions: int | None = None,
+    fail: bool = True,
 ) -> DataFrame:
     """Records as flat contract rows, all strings. ``limit`` 0 reads everything.
 
+    A limit gathers its lines in one task; ``partitions`` deals them out again before they are parsed.
+    Malformed records fail the job, or are left out with ``fail=False`` (see :func:`malformed`).
+
     A missing path fails when the job is planned. Which rows a limit keeps follows file order,
     as it does in the source; order by a key first where that has to be repeatable.
     """
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     if limit:
         lines = lines.limit(limit)
-    records = parse_records(lines, nested)
+    if partitions:
+        lines = lines.repartition(partitions)
+    records = parse_records(lines, nested, fail=fail)
     return conform(records, contract) if contract else records
 
 

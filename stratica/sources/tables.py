@@ -103,12 +103,16 @@ def analytics_view(df: DataFrame, name: str, key: str | list[str], order: list)
 def ensure_dedup_view(
     spark: SparkSession, table: str, key: str, order: str = "ingestion_timestamp DESC"
 ) -> bool:
-    """Create ``<table>_deduped`` over a table; False when the table does not exist yet."""
+    """Create ``<table>_deduped`` over a table; False when the table does not exist yet.
+
+    Ties of the order fall to a hash of the row, so the view does not change from one reading to the next.
+    """
     if not spark.catalog.tableExists(table):
         return False
+    ties = ", ".join(f"`{c}`" for c in spark.table(table).columns)
     spark.sql(
         f"CREATE OR REPLACE VIEW {table}_deduped AS SELECT * EXCEPT (_row) FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _row FROM {table}) WHERE _row = 1"
+        f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}, xxhash64({ties}) DESC) AS _row FROM {table}) WHERE _row = 1"
     )
     return True
 

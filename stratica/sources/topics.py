@@ -54,7 +54,8 @@ def write_topic(frames: DataFrame, path: str | None = None, kafka: dict[str, str
     partition that one hot key has made too large.
     """
     if kafka is not None:
-        frames.write.format("kafka").options(**kafka).save()
+        # the broker's partitioner places the keys, whatever the topic's partition count
+        frames.drop("partition").write.format("kafka").options(**kafka).save()
         return
     frames.hint("rebalance", "topic", "partition").write.mode("append").partitionBy(
         "topic", "partition"

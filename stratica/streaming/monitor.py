@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = (
     "query string, batch_id long, rows long, input_rate double, processed_rate double, "
@@ -30,11 +30,58 @@ def _progress_row(progress: dict) -> tuple:
     )
 
 
+class ProgressLog(StreamingQueryListener):
+    """Every progress record of the session's queries, from the moment it is attached.
+
+    A query itself keeps only its last hundred records. Records are written below ``path`` in lots of
+    ``lot``; :meth:`rows` gives them all with the rows read so far.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, lot: int = 1000):
+        self.spark, self.path, self.lot = spark, path, lot
+        self.held: list[tuple] = []
+        self.written = False
+        self.ended: set[str] = set()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        self.held.append(_progress_row(json.loads(event.progress.json)))
+        if len(self.held) >= self.lot:
+            self._flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def _flush(self) -> None:
+        held, self.held = self.held, []
+        self.spark.createDataFrame(held, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.written = True
+
+    def detach(self, *queries: StreamingQuery, patience: float = 30.0) -> None:
+        """Stop listening once the end of the given queries has been heard of: events come with a delay."""
+        end = time.monotonic() + patience
+        while not {str(q.runId) for q in queries} <= self.ended and time.monotonic() < end:
+            time.sleep(0.05)
+        self.spark.streams.removeListener(self)
+
+    def rows(self) -> DataFrame:
+        held = self.spark.createDataFrame(self.held, PROGRESS_SCHEMA)
+        return _with_totals(self.spark.read.parquet(self.path).unionByName(held) if self.written else held)
+
+
+def _with_totals(rows: DataFrame) -> DataFrame:
+    so_far = Window.partitionBy("query").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("total_rows", F.sum("rows").over(so_far))
+
+
 def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """The retained progress of each query, with the rows it has read so far."""
+    """The retained progress of each query (its last hundred records); :class:`ProgressLog` keeps all."""
     rows = [_progress_row(p if isinstance(p, dict) else json.loads(p.json)) for q in queries for p in q.recentProgress]
-    so_far = Window.partitionBy("query").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA).withColumn("total_rows", F.sum("rows").over(so_far))
+    return _with_totals(spark.createDataFrame(rows, PROGRESS_SCHEMA))
 
 
 def supervise(

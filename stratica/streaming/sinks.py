@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratica.operators.upsert import BATCH_ID, write_batch
+from stratica.operators.upsert import BATCH_ID, STREAM, BatchId, landing, write_batch
 
 # Trigger intervals (fixed values).
 TABLE_TRIGGER = "10 seconds"
 FANOUT_TRIGGER = "60 seconds"
 
-_NOTE_SCHEMA = "sink string, batch_id long, state string, error string"
+_NOTE_SCHEMA = "sink string, stream string, batch_id long, state string, error string"
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -46,8 +47,20 @@ def start_table_sink(
     return writer.format("parquet").start(path)
 
 
+def stream_label(spark: SparkSession, checkpoint: str) -> str:
+    """A label of the stream behind a checkpoint: the same after every restart, another for another checkpoint.
+
+    Labels sort by the time their checkpoint was begun.
+    """
+    file = spark.read.format("binaryFile").load(f"{checkpoint}/metadata").select("modificationTime", "content").first()
+    return f"{file['modificationTime']:%Y%m%d%H%M%S%f}-{json.loads(bytes(file['content']))['id']}"
+
+
 def append_sink(path: str) -> Sink:
-    """Append-only load: executors write the batch into its own folder, so a replay replaces it."""
+    """Append-only load: executors write the batch into a folder of its stream and number.
+
+    A replay replaces its own batch only; other streams, and the same stream from a new checkpoint, add to it.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id)
@@ -71,11 +84,12 @@ def fan_out(
     committed all the same.
     """
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def process(batch: DataFrame, number: int) -> None:
         kept = batch.persist()
         try:
             if kept.isEmpty():
                 return
+            batch_id = BatchId(number, stream_label(batch.sparkSession, checkpoint))
             for name, sink in sinks.items():
                 try:
                     sink(kept, batch_id)
@@ -93,18 +107,18 @@ def fan_out(
     return (writer.queryName(query_name) if query_name else writer).start()
 
 
-def _set_aside(batch: DataFrame, dead_letters: str, sink: str, batch_id: int, error: Exception) -> None:
+def _set_aside(batch: DataFrame, dead_letters: str, sink: str, batch_id: BatchId, error: Exception) -> None:
     write_batch(batch, f"{dead_letters}/rows/{sink}", batch_id)
     _note(batch.sparkSession, dead_letters, sink, batch_id, "failed", str(error))
 
 
-def _note(spark: SparkSession, dead_letters: str, sink: str, batch_id: int, state: str, error: str | None) -> None:
-    entry = spark.createDataFrame([(sink, int(batch_id), state, error)], _NOTE_SCHEMA)
+def _note(spark: SparkSession, dead_letters: str, sink: str, batch_id: BatchId, state: str, error: str | None) -> None:
+    entry = spark.createDataFrame([(sink, batch_id.stream, int(batch_id), state, error)], _NOTE_SCHEMA)
     entry.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{dead_letters}/log")
 
 
 def dead_letter_log(spark: SparkSession, dead_letters: str) -> DataFrame:
-    """What failed and what has been replayed since: ``(sink, batch_id, state, error, at)``."""
+    """What failed and what has been replayed since: ``(sink, stream, batch_id, state, error, at)``."""
     schema = f"{_NOTE_SCHEMA}, at timestamp"
     path = f"{dead_letters}/log"
     if not _exists(spark, path):
@@ -125,23 +139,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def replay(spark: SparkSession, dead_letters: str, sinks: dict[str, Sink]) -> int:
     """Give set-aside batches to their sinks again, oldest first; returns how many went through.
 
-    Only the names of open (sink, batch) pairs come to the driver, never their rows.
+    Only the names of open (sink, stream, batch) entries come to the driver, never their rows.
     """
     log = dead_letter_log(spark, dead_letters)
     open_entries = (
-        log.groupBy("sink", BATCH_ID)
+        log.groupBy("sink", STREAM, BATCH_ID)
         .agg(F.max_by("state", F.struct("at", F.col("state") == "done")).alias("state"))
         .where((F.col("state") == "failed") & F.col("sink").isin(list(sinks)))
-        .orderBy(BATCH_ID, "sink")
+        .orderBy(STREAM, BATCH_ID, "sink")
     )
     done = 0
     for entry in open_entries.collect():
-        rows = spark.read.parquet(f"{dead_letters}/rows/{entry['sink']}/{BATCH_ID}={entry[BATCH_ID]}")
+        batch_id = BatchId(entry[BATCH_ID], entry[STREAM])
+        rows = spark.read.parquet(landing(f"{dead_letters}/rows/{entry['sink']}", batch_id))
         try:
-            sinks[entry["sink"]](rows, entry[BATCH_ID])
+            sinks[entry["sink"]](rows, batch_id)
         except Exception as error:  # the rows stay where they are
-            _note(spark, dead_letters, entry["sink"], entry[BATCH_ID], "failed", str(error))
+            _note(spark, dead_letters, entry["sink"], batch_id, "failed", str(error))
             continue
-        _note(spark, dead_letters, entry["sink"], entry[BATCH_ID], "done", None)
+        _note(spark, dead_letters, entry["sink"], batch_id, "done", None)
         done += 1
     return done

@@ -65,7 +65,8 @@ DICTS = [
     "{'dj': False}", "None", None, "{}", "  {'a': True}", "{'a': True,}", "{'a': True, 'a': None}",
     "{'a': True, 'a': False}", "{'a': 'x, {y}: True', \"b\": True}", "{1: True, 'n': 2.5}", "junk", "{'a': yes}",
     "[True]", "'text'", "{'a': {'x': True}, 'b': False}", "{'a': [1, 2], 'b': True}", "{'a' True}", "{'a': True",
-    "{'it\\'s': True}", "", "{'a': True} extra",
+    "{'it\\'s': True}", "", "{'a': True} extra", "{'garage': True, 'x': {'y': {'z': 1}}}", "{'a': [(1, {'b': [True]})], 'c': False, }",
+    "{'a': {'b': {'c': }}, 'd': True}", "{'a': {'b': {'c': 1}}, 'd' True}", "{{'a': True}: True}", "{'k': {'a', 'b', ('c', (1, ))}, 'd': True}",
 ]
 
 
@@ -148,13 +149,15 @@ def test_embedding_text_keeps_empty_places(spark):
 
 
 def test_routes(spark):
-    replies = ['{"route": "sql"}', '{"route": "Vector"}', '{"route": "X"}', "bad", '{"route": 3}', None, "{}"]
-    assert column(spark, replies, text.route_of) == ["SQL", "VECTOR"] + ["HYBRID"] * 5
+    replies = ['{"route": "sql"}', '{"route": "Vector"}', '{"route": "X"}', "bad", '{"route": 3}', None, "{}",
+               '{"route":"SQL"} trailing', "{'route':'sql'}", '{"route":"SQL"},{"route":"SQL"}']
+    assert column(spark, replies, text.route_of) == ["SQL", "VECTOR"] + ["HYBRID"] * 8
 
 
 def test_content_text(spark):
-    contents = ["  plain \n", '[{"type":"text","text":"a"},{"type":"x"},{"text":"b "}]', "[not json", "[]"]
-    assert column(spark, contents, text.content_text) == ["plain", "a\nb", "[not json", ""]
+    contents = ["  plain \n", '[{"type":"text","text":"a"},{"type":"x"},{"text":"b "}]', "[not json", "[]",
+                '[{"text":"a"},"plain",{"text":"b"}]']
+    assert column(spark, contents, text.content_text) == ["plain", "a\nb", "[not json", "", "a\nb"]
 
 
 def test_vectors(spark):

@@ -8,11 +8,11 @@ from stratica.functions.text import ERROR_TEXT, NO_HYBRID_TEXT
 from stratica.operators import analytics, filters, quality, upsert
 from stratica.operators.dedup import latest_by, one_per_entity, salt_of
 from stratica.operators.embedding import HashingModel, embed
-from stratica.operators.joins import entity_join, in_list, restricted_to, unmatched
+from stratica.operators.joins import entity_join, restricted_to, unmatched
 from stratica.operators.profile import distinct_counts, profile
 from stratica.operators.vectors import dimension_report, hit_view, restricted_topk, vector_topk
 from stratica.plans.answers import answer, contexts, filtered_search
-from stratica.session import checkpointed, spread, work_folder
+from stratica.session import checkpointed, work_folder
 
 
 def rows(df):
@@ -55,6 +55,10 @@ def test_entity_join_resolves_and_multiplies(spark):
     assert [(r[1], str(r[4])) for r in plain if r[0] == "b"] == [("B", "2024-01-05"), ("B2", "2024-01-03")]
     assert rows(entity_join(entities, facts, "k", salts=5)) == plain
     assert len(rows(entity_join(entities, facts, "k", within="1 day"))) == 50
+    outer = rows(entity_join(entities, facts, "k", how="full_outer").na.fill("-", ["k"]))
+    assert len(outer) == 54 and [r[0] for r in outer if r[2] in (51, 52)] == ["-", "c"]
+    with pytest.raises(ValueError, match="salts"):
+        entity_join(entities, facts, "k", how="left_outer", salts=4)
     with pytest.raises(ValueError, match="rename"):
         entity_join(entities.withColumn("f", F.lit(1)), facts, "k")
 
@@ -75,7 +79,6 @@ def test_restricted_to_ignores_empty_ids(spark):
     df = spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("b", 4)], "k string, v int")
     ids = spark.createDataFrame([("a",), ("a",), ("",), (None,)], "k string")
     assert rows(restricted_to(df, ids, "k")) == [("a", 1)]
-    assert rows(df.where(in_list(F.col("k"), ["b"]))) == [("b", 4)]
 
 
 def test_reconcile_is_idempotent(spark):
@@ -112,6 +115,10 @@ def test_profile_against_counting(spark):
     many = [tuple(r) for r in got if r["column"] == "many"]
     assert [(r[1], r[2], r[4], r[5]) for r in many] == [(62, "top", f"v{i:02d}", 4) for i in range(5)]
     assert distinct_counts(df, ["many", "few"]).first().asDict() == {"many": 62, "few": 3}
+    numbers = spark.createDataFrame([(float(i % 12), "x" * 100 + str(i % 3)) for i in range(30)], "v double, t string")
+    listed = profile(numbers, ["v"]).orderBy("position").collect()
+    assert [r["value"] for r in listed] == [f"{i}.0" for i in range(12)]
+    assert distinct_counts(numbers, ["v", "t"]).first().asDict() == {"v": 12, "t": 3}
     assert distinct_counts(df, ["few"], approximate=True).first()["few"] == 3
 
 
@@ -129,6 +136,12 @@ def test_filter_compilation(spark):
     assert nothing.predicate is None and nothing.skipped == ["price"] and nothing.apply(df).count() == 2
 
 
+def test_float_columns_compare_as_floats(spark):
+    df = spark.createDataFrame([(4.3, 4.3), (4.5, 4.5)], "stars float, wide double")
+    assert filters.compile_filter({"stars": "4.3"}, SPEC).apply(df).count() == 1
+    assert filters.compile_filter({"wide": 4.3}, {"wide": "float"}).apply(df).count() == 1
+
+
 def test_facets_cover_the_documented_groups():
     sizes = {g: len(v) for g, v in filters.BUSINESS_FACETS.items() if isinstance(v, dict)}
     assert sizes == {"ambiance": 6, "price": 4, "amenities": 6, "parking": 5, "music": 7, "hours": 7, "more": 11}
@@ -201,6 +214,22 @@ def test_search_filters_first_and_checks_dims(spark, search_space):
     assert vector_topk(p, q.limit(0), 3, dims=8).count() == 0
 
 
+def test_one_scan_serves_many_queries(spark):
+    """No model under a search of stored points, no exchange with a vector, one scan for 5,000 queries."""
+    at = work_folder(spark, "points")
+    points = spark.range(40).select(F.col("id").alias("point_id"), F.concat(F.lit("e"), F.col("id") % 5).alias("business_id"),
+                                    F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: (i * F.col("id") % 7).cast("float")).alias("embedding"))
+    points.write.parquet(at)
+    stored = spark.read.parquet(at)
+    queries = spark.range(5000).select(F.col("id").alias("query_id"), F.array_repeat(F.col("id").cast("double") + 1, 16).alias("query_vector"))
+    hits = vector_topk(restricted_to(stored, spark.createDataFrame([("e1",)], "business_id string"), "business_id"), queries, 3, dims=16)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan and "Union" not in plan
+    physical = hits._jdf.queryExecution().executedPlan().toString()
+    assert not any("embedding" in line for line in physical.splitlines() if "Exchange" in line)
+    assert hits.count() == 15_000
+
+
 def test_hits_have_defaults(spark):
     df = spark.createDataFrame([(1, None, None, 0.123456)], "query_id int, name string, city string, score double")
     shown = hit_view(df, {"name": "Unknown", "city": ""}).first().asDict()
@@ -235,6 +264,11 @@ def test_upsert_replays_and_compacts(spark):
     expected = [("a", 1), ("b", 2), ("c", 2)]
     assert rows(upsert.current(spark, at, "k")) == expected
     assert rows(upsert.upsert(first, second, "k", [F.col("v").desc()])) == expected
+    plan = upsert.current(spark, at, "k")._jdf.queryExecution().executedPlan().toString()
+    assert not any(" v#" in line or "[v#" in line for line in plan.splitlines() if "Exchange" in line)
+    upsert.write_batch(spark.createDataFrame([("c", 3)], "k string, v int"), at, upsert.BatchId(0, "20240101-x"))
+    assert rows(upsert.current(spark, at, "k")) == [("a", 1), ("b", 2), ("c", 3)]
+    upsert.write_batch(second.where("k = 'c'"), at, upsert.BatchId(0, "20240101-x"))
     upsert.compact(spark, at, folded, "k")
     upsert.write_batch(spark.createDataFrame([("a", 9)], "k string, v int"), folded, 2)
     assert rows(upsert.current(spark, folded, "k")) == [("a", 9), ("b", 2), ("c", 2)]
@@ -268,12 +302,6 @@ def test_contexts_by_route(spark):
     assert got[5]["answer"] == ERROR_TEXT + "\n\n---\nRouted as: SQL"
 
 
-def test_spread_leaves_streams_alone(spark):
-    assert spread(spark.range(10)).rdd.getNumPartitions() == 4
-    stream = spark.readStream.format("rate").load()
-    assert spread(stream) is stream
-
-
 def test_answers_follow_their_route(spark, search_space):
     points, queries, p, q = search_space
     named = p.withColumn("name", F.col("point_id")).withColumn("text", F.lit("t"))

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from stratica.proofs import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -28,7 +29,7 @@ def canonical(rows, columns):
     return sorted(tuple(repr("nan" if r[i] != r[i] else r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     frame = entry_points.queries()[name](spark, FOLDER)
     result = duck.execute(entry_points.oracle_sql()[name])

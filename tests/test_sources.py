@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from stratica.sources import contracts as c
 from stratica.sources import tables
-from stratica.sources.ndjson import infer_ndjson, read_ndjson
+from stratica.sources.ndjson import infer_ndjson, malformed, parse_records, read_ndjson
 from stratica.sources.topics import read_topic, to_frames, write_topic
 from stratica.session import work_folder
 
@@ -60,7 +60,12 @@ def test_ndjson_contract(spark, tmp_path):
         ("b", "7", None, None, None, None),
         ("c", None, "False", "None", None, None),
     ]
-    assert read_ndjson(spark, str(path), nested, contract, limit=2).count() == 2
+    assert read_ndjson(spark, str(path), nested, contract, limit=2, partitions=2).count() == 2
+    lines = spark.createDataFrame([('{"id": "1"}',), ('{"id": broken',), ("[1,2]",), ("7",)], "value string")
+    with pytest.raises(Exception, match="malformed record"):
+        parse_records(lines, nested).collect()
+    assert parse_records(lines, nested, fail=False).count() == 1
+    assert sorted(r["value"] for r in malformed(lines, nested).collect()) == ["7", "[1,2]", '{"id": broken']
     assert "attributes" in infer_ndjson(spark, str(path)).columns
     with pytest.raises(AnalysisException):
         read_ndjson(spark, str(tmp_path / "missing.json"), nested)

@@ -12,7 +12,7 @@ from stratica.sources import contracts as c
 from stratica.sources import tables
 from stratica.sources.tables import read_folder_stream
 from stratica.sources.topics import to_frames, write_topic
-from stratica.streaming.monitor import progress_table, supervise
+from stratica.streaming.monitor import ProgressLog, progress_table, supervise
 from stratica.streaming.sinks import append_sink, dead_letter_log, fan_out, replay, start_table_sink
 
 
@@ -128,6 +128,21 @@ def test_fan_out_isolates_and_replays(spark):
     assert [r[0] for r in dead_letter_log(spark, f"{root}/dead").orderBy("at").select("state").collect()] == ["failed", "failed", "done"]
 
 
+def test_a_new_checkpoint_adds_to_a_sink(spark):
+    root = work_folder(spark, "anew")
+    log = ProgressLog(spark, f"{root}/log", lot=2)
+    queries = []
+    for run, n in ((0, 10), (1, 3), (1, 3)):
+        spark.range(n).write.mode("ignore").parquet(f"{root}/in-{run}")
+        stream = read_folder_stream(spark, f"{root}/in-{run}", spark.range(0).schema)
+        queries.append(drained(fan_out(stream, {"s": append_sink(f"{root}/out")}, tables.fresh_checkpoint(root, "q") if not run else f"{root}/cp",
+                                       f"{root}/dead", query_name=f"q{run}", trigger=None)))
+    log.detach(*queries)
+    assert read_batches(spark, f"{root}/out").count() == 13
+    totals = {r["query"]: r["n"] for r in log.rows().groupBy("query").agg(F.max("total_rows").alias("n")).collect()}
+    assert totals == {"q0": 10, "q1": 3}
+
+
 def test_empty_batches_reach_no_sink(spark):
     root = work_folder(spark, "empty")
     spark.range(0).write.parquet(f"{root}/in")
