@@ -34,8 +34,11 @@ SAMPLE = 8_000
 STEMS = 3_000
 FOLDS = 3
 TREES, DEPTH = 20, 3
-#: A stem is kept from this many toxic documents and this log-odds on.
+#: A stem is kept from this many toxic documents and this weight on; the weights of the medium and strong grades.
 LEAST_DOCS, LEAST_ODDS = 2, 1.5
+MEDIUM, STRONG = 2.2, 3.2
+#: A stem seen in n toxic documents keeps n / (n + DOUBT) of its log-odds.
+DOUBT = 2
 #: Second-person words of the languages at hand; characters that stand in for letters.
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch sie tú usted ustedes tus vosotros".split()
@@ -90,13 +93,13 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         near = int((np.minimum(left, right) <= 5).sum())
     size = max(1, len(text))
     return [
-        float((values >= 4).sum()) / n,
-        float(((values >= 2.75) & (values < 4)).sum()) / n,
-        float(((values >= LEAST_ODDS) & (values < 2.75)).sum()) / n,
+        float((values >= STRONG).sum()) / n,
+        float(((values >= MEDIUM) & (values < STRONG)).sum()) / n,
+        float(((values >= LEAST_ODDS) & (values < MEDIUM)).sum()) / n,
         float(values.sum()) / n,
         float(values.max()),
-        math.log1p(len({found[i] for i in hit if values[i] >= 2.75})),
-        math.log1p(float((values >= 2.75).sum())),
+        math.log1p(len({found[i] for i in hit if values[i] >= STRONG})),
+        math.log1p(float((values >= STRONG).sum())),
         near / n,
         len(you) / n,
         sum(w.isupper() for w in raw) / n,
@@ -114,7 +117,7 @@ def _document_stems(text: pd.Series) -> pd.Series:
 
 
 def lexicons(rows: DataFrame) -> list[dict[str, float]]:
-    """Log-odds of stems: for each fold from the rows of the other folds, and last from all rows.
+    """Weights of stems (their log-odds, less where they rest on few documents): for each fold from the rows of the other folds, and last from all rows.
 
     ``rows`` has text, label and fold; at most ``STEMS`` stems reach the driver.
     """
@@ -134,14 +137,15 @@ def lexicons(rows: DataFrame) -> list[dict[str, float]]:
         return toxic, (toxic + 0.1) / (all_toxic + 1.0) * (all_other + 1.0), other + 0.5
 
     toxic, share, rest = odds({c: F.col(c) for c in counted.columns if c != "stem"}, None)
-    told = counted.withColumn("odds", F.log(share / rest)).where((toxic >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS / 2))
-    kept = told.orderBy((F.col("odds") * F.log1p(toxic)).desc(), "stem").limit(STEMS).collect()
+    told = counted.withColumn("weight", F.log(share / rest) * toxic / (toxic + DOUBT))
+    kept = told.where((toxic >= LEAST_DOCS) & (F.col("weight") >= LEAST_ODDS / 2))
+    kept = kept.orderBy(F.col("weight").desc(), "stem").limit(STEMS).collect()
     out = []
     for without in [*range(FOLDS), None]:
         lexicon = {}
         for row in kept:
             toxic, share, rest = odds(row, without)
-            value = math.log(share / rest)
+            value = math.log(share / rest) * toxic / (toxic + DOUBT)
             if toxic >= LEAST_DOCS and value >= LEAST_ODDS:
                 lexicon[row["stem"]] = value
         out.append(lexicon)
