@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratica.functions import text as answer_texts
 from stratica.functions.text import content_text as text_of
 from stratica.functions.text import route_of
 from stratica.operators.embedding import DIMS, QUERY, embed
@@ -104,3 +105,32 @@ def context_render(spark: SparkSession, folder: str) -> DataFrame:
     )
     shown = hit_view(with_payload(hits, payload, at_most=10 * asked.count()), keep=["query_id", "rank"])
     return contexts(asked, shown)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_OUTCOMES = """SELECT item_id AS query_id, text AS query,
+      CASE item_id % 3 WHEN 0 THEN 'SQL' WHEN 1 THEN 'VECTOR' ELSE 'HYBRID' END AS route,
+      CASE WHEN item_id % 2 = 0 THEN 'rows' END AS sql_result, CASE WHEN item_id % 7 = 0 THEN 'timeout' END AS error
+    FROM benchmark"""
+
+
+@proof(
+    f"""SELECT query_id, CASE WHEN error IS NOT NULL THEN {_literal(answer_texts.ERROR_TEXT)}
+             WHEN route = 'SQL' AND sql_result IS NULL THEN {_literal(answer_texts.NO_SQL_TEXT)}
+             WHEN route = 'VECTOR' AND query_id % 4 <> 1 THEN {_literal(answer_texts.NO_VECTOR_TEXT)}
+             WHEN route = 'HYBRID' AND sql_result IS NULL AND query_id % 4 <> 1 THEN {_literal(answer_texts.NO_HYBRID_TEXT)}
+           END || chr(10) || chr(10) || '---' || chr(10) || 'Routed as: ' || route AS answer
+        FROM ({_OUTCOMES})"""
+)
+def empty_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """Questions of each route that failed, found nothing, or found something."""
+    views(spark, folder, "benchmark")
+    shown = {n: F.lit("x") for n in ("name", "city", "state", "categories", "review_stars", "business_stars")}
+    hits = table(spark, folder, "benchmark").where("item_id % 4 = 1").select(
+        F.col("item_id").alias("query_id"), F.lit(1).alias("rank"), "text", F.lit(0.5).alias("score"),
+        *[c.alias(n) for n, c in shown.items()],
+    )
+    return contexts(spark.sql(_OUTCOMES), hits).select("query_id", "answer")

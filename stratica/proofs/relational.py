@@ -32,6 +32,25 @@ def silver_join(spark: SparkSession, folder: str) -> DataFrame:
     return entity_join(entities, facts, "c_custkey")
 
 
+@proof(
+    """SELECT coalesce(c_custkey, o_custkey) AS c_custkey, c_name, o_orderkey, o_totalprice,
+              greatest(CASE WHEN c_custkey IS NOT NULL THEN TIMESTAMP '1998-06-01' END, o_orderdate) AS ingestion_timestamp,
+              CAST(greatest(CASE WHEN c_custkey IS NOT NULL THEN TIMESTAMP '1998-06-01' END, o_orderdate) AS DATE) AS ingestion_date
+       FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')
+       FULL JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey"""
+)
+def silver_outer_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Entities without facts and facts without an entity keep their row and their key."""
+    entities = table(spark, folder, "customer").where("c_mktsegment <> 'BUILDING'").select(
+        "c_custkey", "c_name", F.lit("1998-06-01").cast("timestamp").alias("ingestion_timestamp")
+    )
+    facts = table(spark, folder, "orders").where("o_orderstatus = 'P'").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice",
+        F.col("o_orderdate").cast("timestamp").alias("ingestion_timestamp"),
+    )
+    return entity_join(entities, facts, "c_custkey", how="full_outer")
+
+
 @proof(
     """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'BUILDING')"""
