@@ -38,6 +38,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def bounded_sample(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """At most ``size`` rows in hash order of ``keys``; all of them where there are no more.
+
+    Rows are thinned by their hash to about twice the size first, so what the tasks send on does not grow with their number.
+    """
+    n, scale = rows.count(), 1 << 30
+    place = F.pmod(F.xxhash64(*keys), F.lit(scale))
+    thinned = rows.where(place < 2 * size * scale // n) if n > 2 * size else rows
+    return thinned.orderBy(place, *keys).limit(size)
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of few rows: whole documents are long, and Python holds a batch at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

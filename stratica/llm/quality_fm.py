@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratica.llm.common import SPACES, remainder, small_batches, spare
+from stratica.llm.common import SPACES, bounded_sample, remainder, small_batches, spare
 
 WORD_BUCKETS = 1 << 14
 BINS = 12
@@ -157,8 +157,8 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             {
                 "doc_id": batch["doc_id"],
                 "label": batch["label"],
-                "index": [i.tolist() for i, _ in pairs],
-                "value": [v.tolist() for _, v in pairs],
+                "index": [i.tobytes() for i, _ in pairs],
+                "value": [v.tobytes() for _, v in pairs],
             }
         )
 
@@ -167,14 +167,13 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine
     """The machine for ``labels(doc_id, label)``; which labels may be used is the caller's choice."""
     small_batches(docs.sparkSession)
     usable = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id")
-    usable = usable.agg(F.round(F.avg("label")).cast("int").alias("label"))
-    usable = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    usable = bounded_sample(usable.agg(F.round(F.avg("label")).cast("int").alias("label")), ["doc_id"], sample)
     # at most ``sample`` small rows, so they may be broadcast; texts that repeat for an id count once each
     rows = docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id")
-    schema = "doc_id bigint, label int, index array<int>, value array<float>"
+    schema = "doc_id bigint, label int, index binary, value binary"
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInPandas(_vectors, schema)
     rows = rows.orderBy("doc_id", "index", "value").limit(2 * sample).collect()
-    return fitted([(np.array(r["index"], np.int32), np.array(r["value"], np.float32), r["label"]) for r in rows])
+    return fitted([(np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32), r["label"]) for r in rows])
 
 
 def scored(docs: DataFrame, machine: Machine, score: str = "score") -> DataFrame:
