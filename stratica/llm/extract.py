@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratica.llm.common import small_batches
+from stratica.llm.common import bounded_sample, small_batches
 
 SAMPLE = 240
 EPOCHS = 8
@@ -343,7 +343,7 @@ def training_pages(htmls: list[str], seed: int = 3, made: int = 2) -> list[tuple
 def learned(pages: DataFrame, sample: int = SAMPLE) -> Field:
     """The field trained on a bounded sample of the pages that state where their article is."""
     stating = pages.where(F.lower("html").rlike("<(article|main)[ >]")).select("page_id", "html")
-    rows = stating.orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).collect()
+    rows = bounded_sample(stating, ["page_id", "html"], sample).collect()
     return trained(training_pages([r["html"] for r in rows]))
 
 
