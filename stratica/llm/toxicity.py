@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from stratica.llm.common import remainder, small_batches, spare, written
+from stratica.llm.common import bounded_sample, remainder, small_batches, spare, written
 
 SAMPLE = 8_000
 STEMS = 3_000
@@ -175,7 +175,7 @@ def scored(docs: DataFrame, labels: DataFrame, score: str = "score", sample: int
     spark = docs.sparkSession
     small_batches(spark)
     usable = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id")
-    usable = usable.agg(F.round(F.avg("label")).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    usable = bounded_sample(usable.agg(F.round(F.avg("label")).cast("int").alias("label")), ["doc_id"], sample)
     part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)).alias("part")
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
     rows = docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id").select("doc_id", "text", "label", fold, part)
