@@ -21,7 +21,7 @@ give no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -199,20 +199,22 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, mark: Column | None = None, grouped: Callable[[DataFrame], DataFrame] = groups
+) -> DataFrame:
     """One document of each group: the row with the smallest id, columns unchanged.
 
-    Rows are told apart by a hash of all their columns, so of an id that repeats with different
+    ``mark`` is a document's fingerprint, and ``grouped`` gives the component of each; SimHash by default. Rows are told apart by a hash of all their columns, so of an id that repeats with different
     texts one row stays; copies of a whole row fold into one.
     """
     small_batches(docs.sparkSession)
     tag = spare(docs, "row_hash")
     tagged = docs.withColumn(tag, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    rows = tagged.select("doc_id", F.col(tag).alias("same"), fingerprint_of("text").alias("fp"))
+    rows = tagged.select("doc_id", F.col(tag).alias("same"), (fingerprint_of("text") if mark is None else mark).alias("fp"))
     rows = written(rows, "simhash-rows")
     # a fingerprint's rows fold first, then its group's fingerprints
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")).alias("kept")
-    of_fp = rows.groupBy("fp").agg(smallest).join(groups(rows), "fp")
+    of_fp = rows.groupBy("fp").agg(smallest).join(grouped(rows), "fp")
     kept = of_fp.groupBy("component").agg(F.min("kept").alias("kept")).select("kept.doc_id", "kept.same")
     copies = rows.groupBy("doc_id", "same").agg(F.count("*").alias("copies"))
     match = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.same") == F.col("c.same"))
