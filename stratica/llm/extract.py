@@ -34,7 +34,10 @@ SAMPLE = 240
 EPOCHS = 8
 #: What HTML says of its tags.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select textarea button datalist".split())
+SILENT = frozenset("script style noscript template head title iframe object canvas audio video select textarea button datalist".split())
+#: Elements that can stand in a head without ending it, and roots of markup in which any tag can close itself.
+HEADED = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+FOREIGN = frozenset({"svg", "math"})
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -79,6 +82,7 @@ class _Reader(HTMLParser):
         self.open: list[tuple[str, tuple[str, ...], int | None]] = []
         self.parts: list[str] = []
         self.in_link = self.silent = 0
+        self.begun = False
         self.link_size = 0
 
     def flush(self) -> None:
@@ -97,7 +101,21 @@ class _Reader(HTMLParser):
             self.silent -= tag in SILENT
         del self.open[at:]
 
+    def leave_head(self, tag: str = "") -> None:
+        """The body has begun, by ``tag`` or by text: an open head ends. Within its elements only <body> ends it."""
+        if self.begun:
+            return
+        tags = [t for t, _, _ in self.open]
+        if "head" in tags and (tags[-1] == "head" or tag == "body" and "template" not in tags):
+            self.pop(tags.index("head"))
+            tags = []
+        self.begun = "head" not in tags
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEADED:
+            self.leave_head(tag)
+        elif tag == "head" and (self.begun or self.silent):
+            return  # a head has its place before the body, once
         if tag in BLOCKS:
             self.flush()
             kinds, limits = CLOSES.get(tag, ((), ()))
@@ -122,7 +140,7 @@ class _Reader(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag in ("svg", "math", "path"):
+        if tag not in VOID and (tag == "path" or any(t in FOREIGN for t, _, _ in self.open)):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
@@ -136,6 +154,8 @@ class _Reader(HTMLParser):
                 return  # an inline end tag closes nothing outside its block
 
     def handle_data(self, data):
+        if data.strip() and not (self.open and self.open[-1][0] in SILENT - {"head"}):
+            self.leave_head()
         if not self.silent:
             self.parts.append(data)
             if self.in_link:

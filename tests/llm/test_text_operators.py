@@ -177,6 +177,26 @@ def test_pages(spark, folder):
     assert extract.extracted(pages.limit(0), extract.learned(pages.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("left_out", ["</head>", "</body>", "</html>", "<body>", "<html>", "<head>", "</head><body>"])
+def test_optional_tags_may_be_left_out(left_out):
+    whole = "<html><head><title>t</title><style>s</style></head><body><p>One.</p><p>Two.</p></body></html>"
+    assert left_out in whole
+    assert [b.text for b in extract.read_blocks(whole.replace(left_out, ""))] == ["One.", "Two."]
+
+
+def test_heads_end_as_in_browsers():
+    texts = lambda html: [b.text for b in extract.read_blocks(html)]
+    assert texts("<head><title>t</title>bare text<p>One.") == ["bare text", "One."]
+    assert texts("<head><noscript><p>no</p></noscript><meta a=b><script>s</script><p>One.") == ["One."]
+    assert texts("<head><noscript>no<body>One.") == ["One."]
+    assert texts("<p>One.<head><p>Two.</head><p>Three.") == ["One.", "Two.", "Three."]
+
+
+def test_formulas_and_pictures_keep_their_text():
+    html = "<p>So <math><mi>a</mi><mspace/><mo>+</mo><mi>b</mi></math> and <svg><title/><path/><text>label</text></svg> end.</p>"
+    assert [b.text for b in extract.read_blocks(html)] == ["So a+b and label end."]
+
+
 def test_viterbi_finds_the_best_path():
     chance = np.random.default_rng(4)
     names = [[f"f{i}"] for i in chance.integers(0, 5, 8)]
