@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratica.llm.common import let, written
+from stratica.llm.common import let, spare, written
 
 #: 1 compares a token, 0 ignores it.
 MASKS = ("111011", "11010011")
@@ -115,7 +115,13 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no test item, columns unchanged."""
-    found = contaminated(docs, items).select("doc_id").distinct()
-    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
-    return docs.alias("d").join(written(found, "leak-found").alias("f"), same, "left_anti")
+    """The documents that hold no test item, columns unchanged.
+
+    Rows are told apart by id and text: of an id that repeats, or is missing, only the rows that hold an item go.
+    """
+    id_ = F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    found = contaminated(docs.select(id_.alias("doc_id"), "text"), items).select("doc_id.*").distinct()
+    tag = spare(docs, "text_hash")
+    tagged = docs.withColumn(tag, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col(f"d.{tag}") == F.col("f.hash"))
+    return tagged.alias("d").join(written(found, "leak-found").alias("f"), same, "left_anti").drop(tag)

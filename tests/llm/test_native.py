@@ -56,6 +56,16 @@ def test_decontamination_cases(spark, odd_documents, no_documents):
     assert decontaminate.contaminated(odd_documents, items.limit(0)).count() == 0
 
 
+def test_clean_rows_keep_their_place_beside_a_leak_of_the_same_id(spark):
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = [(i, t, tag) for i in (None, 1) for t, tag in ((ITEM, "leak"), ("clean text", "a"), (None, "b"), ("", "c"), ("clean text", "d"))]
+    docs = spark.createDataFrame([*rows, (2, "Before " + ITEM, "leak")], "doc_id long, text string, text_hash string")
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns
+    expected = sorted((r for r in rows if r[2] != "leak"), key=str)
+    assert sorted(map(tuple, kept.collect()), key=str) == expected
+
+
 def slow_figures(text):
     found = WORD.findall(text or "")
     windows = [tuple(found[i : i + 8]) for i in range(len(found) - 7)]
