@@ -30,13 +30,26 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from stratica.llm.common import small_batches
 
+#: A private key: from its BEGIN line to the END line that follows, or, where that is missing, over the lines of base64
+#: (and of PEM headers) below it. Line ends may be escaped or lost; a shorter run than 16 ends its line.
+_GAP = r"""[\x20\t"'>,;+]*+"""
+_LINE = rf"""{_GAP}(?:(?:\r?\n|(?:\\r)?\\n){_GAP})?+"""
+_END = rf"(?={_GAP}(?:\r?\n|\\[rn]|\Z))"
+_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"""|(?:(?:[\x20\t"'>,;+\r\n]|\\[rn])*+"""
+    rf"(?:[A-Za-z0-9+/=]{{16,}}+|(?=[A-Za-z]*+[0-9+/=])[A-Za-z0-9+/=]++{_END})"
+    rf"|{_LINE}[A-Za-z0-9+/=]++{_END}"
+    rf"|{_LINE}(?:Proc-Type|DEK-Info):[^\n\\]*+(?:(?:\r?\n|\\n)(?=\r?\n|\\n))?)*+)"
+)
 #: The three base kinds in their order, then the further ones. ``least`` is the fewest
 #: characters of a match, or of its group where one is named; shorter matches are dropped.
 RULES = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("private_key", _KEY, 0, 0),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),

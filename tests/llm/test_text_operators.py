@@ -69,6 +69,37 @@ def test_masking(spark, odd_documents):
     assert secret_scan.masked(odd_documents).columns == odd_documents.columns
 
 
+BODY = [*("".join(random.Random(i).choices("ABCwxyz0189+/", k=64)) for i in range(5)), "Zx9Qaw=="]
+
+
+@pytest.mark.parametrize("end", ["-----END RSA PRIVATE KEY-----", ""])
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\n    ", "\n> ", '",\n"', " ", "\n\n", ""])
+@pytest.mark.parametrize("headers", [[], ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C", ""]])
+def test_no_key_body_outlives_masking(end, line, headers):
+    if headers and line not in ("\n", "\r\n", "\\n"):
+        headers = []
+    rules = secret_scan.compiled()
+    key = line.join(["-----BEGIN RSA PRIVATE KEY-----", *headers, *BODY, *([end] if end else [])])
+    text = f"Before it.\n{key}\n\nAfter it, more words.\n{key}"
+    masked = secret_scan.masked_text(text, secret_scan.found_in([text], rules)[0], rules)
+    assert masked == "Before it.\n[private_key]\n\nAfter it, more words.\n[private_key]"
+
+
+def test_a_key_ends_where_another_begins():
+    rules = secret_scan.compiled()
+    for text, expected in {
+        "-----BEGIN PRIVATE KEY-----\nshort\nand plain words\n-----BEGIN CERTIFICATE-----\nx\n-----END CERTIFICATE-----": (
+            "[private_key]\nand plain words\n-----BEGIN CERTIFICATE-----\nx\n-----END CERTIFICATE-----"
+        ),
+        "the line -----BEGIN PRIVATE KEY----- opens a key": "the line [private_key] opens a key",
+        "-----BEGIN PRIVATE KEY-----\na-b--c\n------END EC PRIVATE KEY----- rest": "[private_key] rest",
+    }.items():
+        assert secret_scan.masked_text(text, secret_scan.found_in([text], rules)[0], rules) == expected
+    for filler in ("- a", " ", "\n", "-----BEGIN PRIVATE KEY-----"):
+        long = "-----BEGIN PRIVATE KEY-----" + filler * 300_000
+        assert secret_scan.found_in([long], rules)[0][0][2] == 27  # in linear time
+
+
 @pytest.fixture(scope="module")
 def model():
     tokenizers = pytest.importorskip("public_tokenizers")
