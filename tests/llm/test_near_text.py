@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from stratica.llm import near_text
-from test_simhash import slow_groups
+from brute_force import slow_groups
 
 
 def slow_set(text):

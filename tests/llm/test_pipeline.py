@@ -1,7 +1,8 @@
 """The pipeline's stages, each on what the one before kept."""
 
 import corpus_pipeline
-from stratica.llm import decontaminate, quality_fm, secret_scan, simhash
+from brute_force import slow_groups, slow_set
+from stratica.llm import decontaminate, quality_fm, secret_scan
 
 
 def test_stages(spark, folder):
@@ -18,8 +19,9 @@ def test_stages(spark, folder):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     scores = {r["doc_id"]: r["score"] for r in quality_fm.quality(docs, labels).collect()}
     assert ids[1] == {i for i, s in scores.items() if s >= 0.3}
-    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(kept[1]).collect()}
-    assert ids[2] == set(groups.values())
+    sets = {r["doc_id"]: slow_set(r["text"], 5) for r in kept[1].collect()}
+    similar = lambda a, b: 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))
+    assert ids[2] == set(slow_groups(sorted(sets), similar).values())
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     leaks = {r["doc_id"] for r in decontaminate.contaminated(kept[2], items).collect()}
     assert ids[3] == ids[2] - leaks and ids[4] == ids[3]

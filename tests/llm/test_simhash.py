@@ -8,6 +8,7 @@ import xxhash
 
 from stratica.llm import simhash
 from stratica.llm.components import components
+from brute_force import slow_groups
 
 
 def slow_fingerprint(text):
@@ -18,23 +19,6 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def slow_groups(nodes, linked):
-    root = {n: n for n in nodes}
-
-    def find(n):
-        while root[n] != n:
-            n = root[n]
-        return n
-
-    nodes = list(nodes)
-    for i, a in enumerate(nodes):
-        for b in nodes[i + 1 :]:
-            if linked(a, b):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    return {n: find(n) for n in nodes}
-
-
 def test_within_counts_bits():
     chance = random.Random(3)
     base = [chance.getrandbits(64) for _ in range(5)]
