@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratica.session import work_folder
@@ -38,6 +38,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def numbered(df: DataFrame, order: list[str], label: str) -> DataFrame:
+    """``df`` with ``place``, its position from 0 in ascending ``order`` (nulls first), without gathering it.
+
+    A global sort gives each partition a run of rows, and the runs' lengths give each its offset. Rows that
+    agree in ``order`` may be cut between partitions: how they were read decides among them.
+    """
+    tie = F.monotonically_increasing_id()
+    rows = df.withColumn("_tie", tie).orderBy(*order, "_tie").drop("_tie").withColumn("_id", F.monotonically_increasing_id())
+    rows = written(rows.withColumn("_run", F.shiftright("_id", 33)), label)
+    runs = rows.groupBy("_run").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("_before", F.coalesce(earlier, F.lit(0))).drop("_n")
+    place = F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1)
+    return rows.join(runs, "_run").withColumn("place", place).drop("_run", "_id", "_before")
+
+
 def bounded_sample(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     """At most ``size`` rows in hash order of ``keys``; all of them where there are no more.
 

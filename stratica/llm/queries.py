@@ -12,8 +12,11 @@ from stratica.llm import (
     decontaminate,
     extract,
     host_rules,
+    merkle,
     mixing,
+    occurrence_join,
     quality_fm,
+    repair,
     secret_scan,
     simhash,
     token_prefixes,
@@ -90,16 +93,35 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract.extracted(pages, extract.learned(pages))
 
 
+def op11_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
+    return occurrence_join.joined(_documents(spark, folder))
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.proofs(_documents(spark, folder))
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repaired(table(prepare(spark), folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_fm, op2_host_rules, op3_simhash, op4_decontamination, op5_mixing, op6_chat, op7_secrets, op8_toxicity,
-        op9_token_prefixes, op10_main_text,
+        op9_token_prefixes, op10_main_text, op11_occurrence_join, op12_merkle, op13_repair,
     )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+#: CRC-32 of ids as text, bit by bit; ``hit`` has those that 7 divides.
+_CRC = """c AS (SELECT doc_id, 0 AS i, 4294967295 AS crc, CAST(doc_id AS VARCHAR) AS name FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+            UNION ALL
+            SELECT doc_id, i + 1, list_reduce([xor(crc, ord(name[i + 1]))] || range(8), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END),
+                   name FROM c WHERE i < strlen(name)),
+      hit AS (SELECT doc_id FROM c WHERE i = strlen(name) AND xor(crc, 4294967295) % 7 = 0)"""
+
 ORACLES: dict[str, str] = {
     "op2_host_rules": rf"""
       WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -197,4 +219,53 @@ ORACLES: dict[str, str] = {
       SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, CAST(coalesce(floor(turn / {chat.CELL}), 0) AS BIGINT) AS part,
              string_agg('{chat.OPEN}' || role || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}', chr(10) ORDER BY turn) AS text
       FROM n JOIN kept USING (conv_id) GROUP BY ALL""",
+    "op11_occurrence_join": r"""
+      WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+      s AS (SELECT DISTINCT r, array_to_string(w[i:i + 2], ' ') AS shingle FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS t(i) WHERE len(w) > 0),
+      n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+      links AS (SELECT x.r AS a, y.r AS b FROM s x JOIN s y USING (shingle) JOIN n u ON u.r = x.r JOIN n v ON v.r = y.r
+                WHERE x.r <> y.r GROUP BY x.r, y.r, u.n, v.n HAVING 100 * count(*) >= 90 * (u.n + v.n - count(*))),
+      reach AS (SELECT r, r AS o FROM d UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.o = links.a)
+      SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(e.doc_id) AS component_id
+      FROM d LEFT JOIN n USING (r) JOIN reach USING (r) JOIN d e ON e.r = reach.o GROUP BY d.r, d.doc_id, n.n""",
+    "op12_merkle": rf"""
+      WITH RECURSIVE d AS (SELECT *, coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+               coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+      l AS (SELECT doc_id, coalesce('1' || lang, '0') AS tree, n_chars, head, tail,
+                   sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf FROM d),
+      o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM l),
+      t AS (SELECT tree, 0 AS level, rank, leaf AS digest FROM o
+            UNION ALL
+            SELECT tree, level + 1, rank // 2, sha256(string_agg(digest, '' ORDER BY rank))
+            FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM t) WHERE n > 1 GROUP BY tree, level, rank // 2),
+      top AS (SELECT tree, level AS height, digest AS subroot FROM t QUALIFY row_number() OVER (PARTITION BY tree ORDER BY level DESC) = 1),
+      u AS (SELECT 0 AS level, row_number() OVER (ORDER BY CAST(tree AS BLOB)) - 1 AS rank, subroot AS digest FROM top
+            UNION ALL
+            SELECT level + 1, rank // 2, sha256(string_agg(digest, '' ORDER BY rank))
+            FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY level, rank // 2),
+      placed AS (SELECT *, row_number() OVER (ORDER BY CAST(tree AS BLOB)) - 1 AS place FROM top),
+      apex AS (SELECT digest AS root, level AS height FROM u ORDER BY level DESC LIMIT 1),
+      steps AS (SELECT o.tree, o.rank AS leaf_rank, t.level, t.digest FROM o JOIN t ON t.tree = o.tree
+                  AND t.rank = xor(CAST(o.rank AS BIGINT) >> t.level, 1)
+                UNION ALL
+                SELECT o.tree, o.rank, p.height + u.level, u.digest FROM o JOIN placed p USING (tree) JOIN u
+                  ON u.rank = xor(CAST(p.place AS BIGINT) >> u.level, 1)),
+      proof AS (SELECT tree, leaf_rank AS rank, sha256(string_agg(digest, '' ORDER BY level)) AS proof_sha256 FROM steps GROUP BY ALL),
+      {_CRC},
+      f AS (SELECT o.tree, o.rank, o.doc_id, o.leaf, placed.subroot, coalesce(proof_sha256, sha256('')) AS proof_sha256, height, place,
+                   n_chars IS NOT NULL AND doc_id IN (SELECT doc_id FROM hit) AS changed,
+                   sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS other
+            FROM o JOIN placed USING (tree) LEFT JOIN proof USING (tree, rank)),
+      g AS (SELECT f.tree, f.rank, f.height, f.place, 0 AS level, CASE WHEN changed THEN other ELSE leaf END AS digest FROM f
+            UNION ALL
+            SELECT g.tree, g.rank, g.height, g.place, g.level + 1,
+                   CASE WHEN n.digest IS NULL THEN sha256(g.digest)
+                        WHEN (CASE WHEN g.level < g.height THEN g.rank >> g.level ELSE g.place >> (g.level - g.height) END) % 2 = 1
+                        THEN sha256(n.digest || g.digest) ELSE sha256(g.digest || n.digest) END
+            FROM g LEFT JOIN (SELECT tree, leaf_rank, level, digest FROM steps) n ON n.tree = g.tree AND n.leaf_rank = g.rank AND n.level = g.level
+            WHERE g.level < g.height + (SELECT height FROM apex))
+      SELECT f.doc_id, f.leaf, f.subroot, root, proof_sha256, g.digest AS folded_root, g.digest = root AS verified
+      FROM f JOIN g ON f.tree = g.tree AND f.rank = g.rank AND g.level = f.height + (SELECT height FROM apex), apex""",
 }
