@@ -19,8 +19,8 @@ Components need no pair of a group twice. First neighbours on each list are sear
 at a cost in proportion to its size; then, on lists that still hold several groups, members outside the
 largest group against all. No link between different groups is lost.
 
-Defined results: case of A to Z and the kind of white space do not count; copies are folded first, by a 64-bit hash of their
-words; a text of fewer words than a shingle is one shingle; a text without words, or none, has the empty set
+Defined results: case of A to Z and the kind of white space do not count; copies are folded first, by a 64-bit hash of the
+text; a text of fewer words than a shingle is one shingle; a text without words, or none, has the empty set
 and is linked with nothing; no rows give no rows; other columns are not read.
 """
 
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratica.llm.common import SPACE_RUN, SPACES, WORD, small_batches, written
+from stratica.llm.common import SPACES, WORD, small_batches, written
 from stratica.llm.components import components
 
 #: Shingles of three words, similar at 90 in a hundred.
@@ -50,15 +50,14 @@ MU = 0.0085
 SAMPLE, SLOTS, OFTEN = 20_000, 1 << 22, 8
 #: Queries of a cell, and shingles of the partners indexed at a time.
 QUERIES, BLOCK = 256, 1 << 20
-_LEAST_BITS = 256
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = str.maketrans(_UPPER, _LOWER)
+#: Cells of the parity that travels with a posting, and the least of any.
+FEW_BITS = 512
+_FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def key_of(text: Column) -> Column:
-    """Hash of a text's words in order: equal for copies."""
-    folded = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.xxhash64(F.regexp_replace(F.btrim(folded, F.lit(SPACES)), SPACE_RUN, " "))
+    """Hash of a text, equal for copies; 0 for texts without words."""
+    return F.when(F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES)) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(text))
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -95,18 +94,27 @@ def short_lists(found: np.ndarray, common: np.ndarray, least: tuple[int, int]) -
 
 def parity(found: np.ndarray) -> bytes:
     """Of each of 2^k cells (as many as shingles, or up to twice), whether an odd number of shingles falls into it."""
-    bits = max(_LEAST_BITS, 1 << max(0, len(found) - 1).bit_length())
+    bits = max(FEW_BITS, 1 << max(0, len(found) - 1).bit_length())
     return np.packbits(np.bincount(found & (bits - 1), minlength=bits) & 1, bitorder="little").tobytes()
 
 
+def _folded(mark: np.ndarray, size: int) -> np.ndarray:
+    """A parity with fewer cells; ``size`` in elements."""
+    while len(mark) > size:
+        mark = mark[: len(mark) // 2] ^ mark[len(mark) // 2 :]
+    return mark
+
+
 def differing(x: bytes, y: bytes) -> int:
     """Cells whose parities differ: never more than the shingles that only one set has. The longer is folded onto the shorter."""
     a, b = (np.frombuffer(v, dtype=np.uint8) for v in (x, y))
-    if len(a) < len(b):
-        a, b = b, a
-    while len(a) > len(b):
-        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum())
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
+
+
+def few(mark: bytes) -> np.ndarray:
+    """The parity in ``FEW_BITS`` cells, as longs."""
+    return _folded(np.frombuffer(mark, dtype="<i8"), FEW_BITS // 64)
 
 
 def divide_skip(lists: list[list[int]], need: int) -> dict[int, int]:
@@ -201,7 +209,7 @@ def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
     """
     often = _commonness(docs.select("key", "text"), size)
     kept = docs.drop("text").schema
-    added = [("size", T.LongType()), ("lists", T.ArrayType(T.LongType())), ("parity", T.BinaryType())]
+    added = [("size", T.LongType()), ("lists", T.ArrayType(T.LongType())), ("parity", T.BinaryType()), ("few", T.ArrayType(T.LongType()))]
     schema = T.StructType([*kept.fields, *(T.StructField(name, kind) for name, kind in added)])
 
     def rows(batches):
@@ -210,7 +218,9 @@ def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
         for batch, sets, sizes in _texts(batches, size):
             lists = [None if s is None or not len(s) else short_lists(s, common, least) for s in sets]
             marks = [None if s is None or not len(s) else parity(s) for s in sets]
-            more = [pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
+            small = [None if m is None else few(m) for m in marks]
+            longs = pa.list_(pa.int64())
+            more = [pa.array(sizes, pa.int64()), pa.array(lists, longs), pa.array(marks, pa.binary()), pa.array(small, longs)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=schema.names)
 
     return written(docs.mapInArrow(rows, schema), "join-prepared")
@@ -313,13 +323,13 @@ def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[
     """
     listed = table.where(F.col("lists").isNotNull())
     postings = listed.select("key", "size", F.posexplode("lists").alias("place", "shingle"))
-    line = Window.partitionBy("shingle").orderBy("size", "place", "key")
+    line = Window.partitionBy("shingle").orderBy("size", "key")  # the same neighbours on list after list
     ahead = lambda c: F.lead(c).over(line).alias(f"next_{c}")
     last = F.lag("key").over(line).alias("last_key")
     rows = postings.select("*", ahead("key"), ahead("size"), ahead("place"), last)
     # lists of one text go; copies of a row that several tasks gave stand side by side
     shared = written(rows.where("next_key <> key OR last_key <> key"), "join-shared")
-    parities = written(listed.select("key", "size", "parity").dropDuplicates(["key"]), "join-parities")
+    parities = written(listed.select("key", "size", "parity", "few").dropDuplicates(["key"]), "join-parities")
     chain = shared.where((F.col("next_key") != F.col("key")) & _bound(least, "size", "next_size", "place", "next_place"))
     chain = written(chain.select(F.least("key", "next_key").alias("a"), F.greatest("key", "next_key").alias("b")).distinct(), "join-chain")
     first = _verified(chain, parities, texts, size, least)
@@ -328,13 +338,17 @@ def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[
     members = written(members.select("shingle", "key", "size", "place", F.coalesce("component", "key").alias("own")), "join-members")
     counted = members.groupBy("shingle", "own").agg(F.count("*").alias("n"))
     largest = counted.groupBy("shingle").agg(F.max_by("own", F.struct("n", "own")).alias("largest"), F.count("*").alias("groups"))
-    open_ = written(members.join(largest.where("groups > 1").drop("groups"), "shingle"), "join-open")
-    named = lambda *names: [F.col(c).alias(n) for c, n in zip(("key", "size", "place", "own"), names, strict=True)]
-    outside = open_.where("own <> largest").select("shingle", *named("a", "m", "i", "g"))
+    open_ = members.join(largest.where("groups > 1").drop("groups"), "shingle").join(parities.select("key", "few"), "key")
+    open_ = written(open_, "join-open")
+    named = lambda *names: [F.col(c).alias(n) for c, n in zip(("key", "size", "place", "own", "few"), names, strict=True)]
+    outside = open_.where("own <> largest").select("shingle", *named("a", "m", "i", "g", "x"))
     # both outside: one order is enough
     once = (F.col("h") == F.col("largest")) | (F.col("a") < F.col("b"))
-    pairs = outside.join(open_.select("shingle", "largest", *named("b", "n", "j", "h")), "shingle")
-    pairs = pairs.where((F.col("g") != F.col("h")) & once & _bound(least, "m", "n", "i", "j"))
+    pairs = outside.join(open_.select("shingle", "largest", *named("b", "n", "j", "h", "y")), "shingle")
+    p, q = least
+    differ = sum((F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i)))) for i in range(FEW_BITS // 64)), F.lit(0))
+    alike = differ * (p + q) <= (F.col("m") + F.col("n")) * (q - p)
+    pairs = pairs.where((F.col("g") != F.col("h")) & once & _bound(least, "m", "n", "i", "j") & alike)
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = written(pairs.join(chain, ["a", "b"], "left_anti"), "join-rest")
     return first if rest.isEmpty() else first.unionByName(_verified(rest, parities, texts, size, least))
