@@ -203,13 +203,14 @@ def _commonness(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """``docs(..., key, text)`` with the text's ``size``, and for one row of each key at least its short lists and ``parity``.
+    """``docs(..., key, text)`` with the text's ``size``, and for one row of each key at least its short lists, its parity
+    (``few`` in ``FEW_BITS`` cells) and how many of its shingles are ``rare`` by estimate.
 
     One pass over the texts; written, for the steps that follow read different columns.
     """
     often = _commonness(docs.select("key", "text"), size)
     kept = docs.drop("text").schema
-    added = [("size", T.LongType()), ("lists", T.ArrayType(T.LongType())), ("parity", T.BinaryType()), ("few", T.ArrayType(T.LongType()))]
+    added = [("size", T.LongType()), ("rare", T.LongType()), ("lists", T.ArrayType(T.LongType())), ("parity", T.BinaryType()), ("few", T.ArrayType(T.LongType()))]
     schema = T.StructType([*kept.fields, *(T.StructField(name, kind) for name, kind in added)])
 
     def rows(batches):
@@ -218,9 +219,10 @@ def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
         for batch, sets, sizes in _texts(batches, size):
             lists = [None if s is None or not len(s) else short_lists(s, common, least) for s in sets]
             marks = [None if s is None or not len(s) else parity(s) for s in sets]
+            rare = [None if s is None else int((common[_slot(s)] == 0).sum()) for s in sets]
             small = [None if m is None else few(m) for m in marks]
             longs = pa.list_(pa.int64())
-            more = [pa.array(sizes, pa.int64()), pa.array(lists, longs), pa.array(marks, pa.binary()), pa.array(small, longs)]
+            more = [pa.array(sizes, pa.int64()), pa.array(rare, pa.int64()), pa.array(lists, longs), pa.array(marks, pa.binary()), pa.array(small, longs)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=schema.names)
 
     return written(docs.mapInArrow(rows, schema), "join-prepared")
@@ -322,8 +324,9 @@ def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[
     ``table`` is what :func:`prepared` gives, ``texts(key, text)`` the texts behind it.
     """
     listed = table.where(F.col("lists").isNotNull())
-    postings = listed.select("key", "size", F.posexplode("lists").alias("place", "shingle"))
-    line = Window.partitionBy("shingle").orderBy("size", "key")  # the same neighbours on list after list
+    postings = listed.select("key", "size", "rare", F.posexplode("lists").alias("place", "shingle"))
+    # the same neighbours on list after list, copies with as many edits of their own side by side
+    line = Window.partitionBy("shingle").orderBy("rare", "size", "key")
     ahead = lambda c: F.lead(c).over(line).alias(f"next_{c}")
     last = F.lag("key").over(line).alias("last_key")
     rows = postings.select("*", ahead("key"), ahead("size"), ahead("place"), last)
