@@ -15,9 +15,9 @@ On a cluster this happens twice:
    their possible partners. A cell is an inverted index of its own, made of whole sets and searched by
    DivideSkip in full. Partners pass through in blocks of bounded size, so a query with very many needs no more memory.
 
-Components need no pair of a group twice. First neighbours on each list are searched, which joins a family of near copies
-at a cost in proportion to its size; then, on lists that still hold several groups, members outside the
-largest group against all. No link between different groups is lost.
+Components need no pair of a group twice. First neighbours on each list are searched, in a few orders, which joins most of a
+family of near copies at a cost in proportion to its size; then, on lists that still hold several groups, members
+outside the largest group against all. No link between different groups is lost.
 
 Defined results: case of A to Z and the kind of white space do not count; copies are folded first, by a 64-bit hash of the
 text; a text of fewer words than a shingle is one shingle; a text without words, or none, has the empty set
@@ -50,8 +50,10 @@ MU = 0.0085
 SAMPLE, SLOTS, OFTEN = 20_000, 1 << 22, 8
 #: Queries of a cell, and shingles of the partners indexed at a time.
 QUERIES, BLOCK = 256, 1 << 20
-#: Cells of the parity that travels with a posting, and the least of any.
-FEW_BITS = 512
+#: Rounds of neighbours before all open pairs are looked at; more of them leave fewer pairs, never other links.
+ROUNDS = 3
+_MEMBER = ("key", "size", "place", "own", "parity")
+_LEAST_BITS = 256
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -92,29 +94,29 @@ def short_lists(found: np.ndarray, common: np.ndarray, least: tuple[int, int]) -
     return found[order[: len(found) - occurrences(len(found), least) + 1]]
 
 
-def parity(found: np.ndarray) -> bytes:
-    """Of each of 2^k cells (as many as shingles, or up to twice), whether an odd number of shingles falls into it."""
-    bits = max(FEW_BITS, 1 << max(0, len(found) - 1).bit_length())
-    return np.packbits(np.bincount(found & (bits - 1), minlength=bits) & 1, bitorder="little").tobytes()
+def parity(found: np.ndarray) -> np.ndarray:
+    """Of each of 2^k cells (as many as shingles, or up to twice), whether an odd number of shingles falls into it; packed in longs."""
+    bits = max(_LEAST_BITS, 1 << max(0, len(found) - 1).bit_length())
+    return np.packbits(np.bincount(found & (bits - 1), minlength=bits) & 1, bitorder="little").view("<i8")
 
 
-def _folded(mark: np.ndarray, size: int) -> np.ndarray:
-    """A parity with fewer cells; ``size`` in elements."""
-    while len(mark) > size:
-        mark = mark[: len(mark) // 2] ^ mark[len(mark) // 2 :]
-    return mark
+def alike(least: tuple[int, int], m: str = "m", n: str = "n", x: str = "x", y: str = "y") -> Column:
+    """Whether sets of sizes m and n with parities x and y may be similar.
 
+    Parities differ in no more cells than there are shingles that only one set has. Of two lengths the longer is folded
+    onto the shorter; where it is over twice as long, nothing is ruled out.
+    """
+    p, q = least
+    x, y = F.col(x), F.col(y)
 
-def differing(x: bytes, y: bytes) -> int:
-    """Cells whose parities differ: never more than the shingles that only one set has. The longer is folded onto the shorter."""
-    a, b = (np.frombuffer(v, dtype=np.uint8) for v in (x, y))
-    size = min(len(a), len(b))
-    return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
-
+    def fold(own: Column, other: Column) -> Column:
+        half = F.size(other)
+        halves = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(own) == 2 * half, halves).otherwise(own)
 
-def few(mark: bytes) -> np.ndarray:
-    """The parity in ``FEW_BITS`` cells, as longs."""
-    return _folded(np.frombuffer(mark, dtype="<i8"), FEW_BITS // 64)
+    cells = F.zip_with(fold(x, y), fold(y, x), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    far = F.greatest(F.size(x), F.size(y)) > 2 * F.least(F.size(x), F.size(y))
+    return far | (F.aggregate(cells, F.lit(0), lambda s, c: s + c) * (p + q) <= (F.col(m) + F.col(n)) * (q - p))
 
 
 def divide_skip(lists: list[list[int]], need: int) -> dict[int, int]:
@@ -204,13 +206,13 @@ def _commonness(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
     """``docs(..., key, text)`` with the text's ``size``, and for one row of each key at least its short lists, its parity
-    (``few`` in ``FEW_BITS`` cells) and how many of its shingles are ``rare`` by estimate.
+    and how many of its shingles are ``rare`` by estimate.
 
     One pass over the texts; written, for the steps that follow read different columns.
     """
     often = _commonness(docs.select("key", "text"), size)
     kept = docs.drop("text").schema
-    added = [("size", T.LongType()), ("rare", T.LongType()), ("lists", T.ArrayType(T.LongType())), ("parity", T.BinaryType()), ("few", T.ArrayType(T.LongType()))]
+    added = [("size", T.LongType()), ("rare", T.LongType()), ("lists", T.ArrayType(T.LongType())), ("parity", T.ArrayType(T.LongType()))]
     schema = T.StructType([*kept.fields, *(T.StructField(name, kind) for name, kind in added)])
 
     def rows(batches):
@@ -220,9 +222,8 @@ def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
             lists = [None if s is None or not len(s) else short_lists(s, common, least) for s in sets]
             marks = [None if s is None or not len(s) else parity(s) for s in sets]
             rare = [None if s is None else int((common[_slot(s)] == 0).sum()) for s in sets]
-            small = [None if m is None else few(m) for m in marks]
             longs = pa.list_(pa.int64())
-            more = [pa.array(sizes, pa.int64()), pa.array(rare, pa.int64()), pa.array(lists, longs), pa.array(marks, pa.binary()), pa.array(small, longs)]
+            more = [pa.array(sizes, pa.int64()), pa.array(rare, pa.int64()), pa.array(lists, longs), pa.array(marks, longs)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=schema.names)
 
     return written(docs.mapInArrow(rows, schema), "join-prepared")
@@ -236,18 +237,6 @@ def _bound(least: tuple[int, int], m: str, n: str, i: str, j: str) -> Column:
     return fit & (most * (p + q) >= (F.col(m) + F.col(n)) * p)
 
 
-def _may_be_similar(least: tuple[int, int]):
-    p, q = least
-
-    def body(batches):
-        for batch in batches:
-            m, n, x, y = (batch.column(c).to_pylist() for c in ("m", "n", "x", "y"))
-            keep = [differing(s, t) * (p + q) <= (a + b) * (q - p) for a, b, s, t in zip(m, n, x, y, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return body
-
-
 def _searched(least: tuple[int, int]):
     """Links of each cell; rows are cell, asks, held, key and set, those that ask first."""
     p, q = least
@@ -305,7 +294,7 @@ def _verified(pairs: DataFrame, parities: DataFrame, texts: DataFrame, size: int
     """Links among the ``pairs(a, b)``: parities first, then whole sets in cells."""
     both = pairs.join(parities.select(F.col("key").alias("a"), F.col("size").alias("m"), F.col("parity").alias("x")), "a")
     both = both.join(parities.select(F.col("key").alias("b"), F.col("size").alias("n"), F.col("parity").alias("y")), "b")
-    near = written(both.select("a", "b", "m", "n", "x", "y").mapInArrow(_may_be_similar(least), "a long, b long"), "join-near")
+    near = written(both.where(alike(least)).select("a", "b"), "join-near")
     cells = max(1, near.count() // QUERIES)
     cell = F.pmod(F.xxhash64("a"), F.lit(cells)).alias("cell")
     role = lambda key, asks: near.select(cell, F.col(key).alias("key"), F.lit(asks).alias("asks"))
@@ -332,29 +321,54 @@ def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[
     rows = postings.select("*", ahead("key"), ahead("size"), ahead("place"), last)
     # lists of one text go; copies of a row that several tasks gave stand side by side
     shared = written(rows.where("next_key <> key OR last_key <> key"), "join-shared")
-    parities = written(listed.select("key", "size", "parity", "few").dropDuplicates(["key"]), "join-parities")
+    parities = written(listed.select("key", "size", "parity").dropDuplicates(["key"]), "join-parities")
     chain = shared.where((F.col("next_key") != F.col("key")) & _bound(least, "size", "next_size", "place", "next_place"))
     chain = written(chain.select(F.least("key", "next_key").alias("a"), F.greatest("key", "next_key").alias("b")).distinct(), "join-chain")
-    first = _verified(chain, parities, texts, size, least)
-    found = written(components(first), "join-components")
-    members = shared.select("shingle", "key", "size", "place").distinct().join(found, F.col("key") == F.col("node"), "left")
+    found = _verified(chain, parities, texts, size, least)
+    shared = _merged_lists(shared)
+    for turn in range(ROUNDS):
+        open_ = _open_lists(shared, found, parities)
+        line = Window.partitionBy("shingle").orderBy(F.xxhash64(F.lit(turn), "key"), "key")
+        ahead = [F.lead(c).over(line).alias(n) for c, n in zip(_MEMBER, "bnjhy", strict=True)]
+        pairs = open_.select(*(F.col(c).alias(n) for c, n in zip(_MEMBER, "amigx", strict=True)), *ahead)
+        pairs = written(pairs.where(_may_link(least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-round")
+        new = _verified(pairs, parities, texts, size, least)
+        if new.isEmpty():
+            break
+        found = found.unionByName(new)
+    open_ = _open_lists(shared, found, parities)
+    named = lambda names: [F.col(c).alias(n) for c, n in zip(_MEMBER, names, strict=True)]
+    outside = open_.where("own <> largest").select("shingle", *named("amigx"))
+    # both outside: one order is enough
+    once = (F.col("h") == F.col("largest")) | (F.col("a") < F.col("b"))
+    pairs = outside.join(open_.select("shingle", "largest", *named("bnjhy")), "shingle").where(once & _may_link(least))
+    rest = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-rest")
+    return found if rest.isEmpty() else found.unionByName(_verified(rest, parities, texts, size, least))
+
+
+def _may_link(least: tuple[int, int]) -> Column:
+    """Whether a (size m, place i, group g, parity x) and b (n, j, h, y) may be similar and are not yet in one group."""
+    return (F.col("g") != F.col("h")) & _bound(least, "m", "n", "i", "j") & alike(least)
+
+
+def _merged_lists(shared: DataFrame) -> DataFrame:
+    """Lists with the same members as one, each member at its first place: a passage of many shingles is many such lists."""
+    members = shared.select("shingle", "key", "size", "place").distinct()
+    mark = F.xxhash64(F.expr("bit_xor(xxhash64(key))"), F.expr("bit_xor(xxhash64(key, 1))"), F.count("*"))
+    marks = members.groupBy("shingle").agg(mark.alias("mark"))
+    rows = members.join(marks, "shingle").groupBy(F.col("mark").alias("shingle"), "key", "size").agg(F.min("place").alias("place"))
+    return written(rows, "join-lists")
+
+
+def _open_lists(shared: DataFrame, found: DataFrame, parities: DataFrame) -> DataFrame:
+    """Members of the lists on which several groups are left, with their group ``own``, the list's ``largest`` and their parity."""
+    groups = written(components(found), "join-components")
+    members = shared.join(groups, F.col("key") == F.col("node"), "left")
     members = written(members.select("shingle", "key", "size", "place", F.coalesce("component", "key").alias("own")), "join-members")
     counted = members.groupBy("shingle", "own").agg(F.count("*").alias("n"))
     largest = counted.groupBy("shingle").agg(F.max_by("own", F.struct("n", "own")).alias("largest"), F.count("*").alias("groups"))
-    open_ = members.join(largest.where("groups > 1").drop("groups"), "shingle").join(parities.select("key", "few"), "key")
-    open_ = written(open_, "join-open")
-    named = lambda *names: [F.col(c).alias(n) for c, n in zip(("key", "size", "place", "own", "few"), names, strict=True)]
-    outside = open_.where("own <> largest").select("shingle", *named("a", "m", "i", "g", "x"))
-    # both outside: one order is enough
-    once = (F.col("h") == F.col("largest")) | (F.col("a") < F.col("b"))
-    pairs = outside.join(open_.select("shingle", "largest", *named("b", "n", "j", "h", "y")), "shingle")
-    p, q = least
-    differ = sum((F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i)))) for i in range(FEW_BITS // 64)), F.lit(0))
-    alike = differ * (p + q) <= (F.col("m") + F.col("n")) * (q - p)
-    pairs = pairs.where((F.col("g") != F.col("h")) & once & _bound(least, "m", "n", "i", "j") & alike)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = written(pairs.join(chain, ["a", "b"], "left_anti"), "join-rest")
-    return first if rest.isEmpty() else first.unionByName(_verified(rest, parities, texts, size, least))
+    rows = members.join(largest.where("groups > 1").drop("groups"), "shingle").join(parities.select("key", "parity"), "key")
+    return written(rows, "join-open")
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
