@@ -2,8 +2,8 @@
 
 The source writes values such as ``{'garage': False, u'street': True}`` or ``u'full_bar'``.
 Both are read with JVM regular expressions, so cleaning stays inside one codegen stage.
-Containers may nest to any depth; escapes other than quotes, backslash and
-``\\n \\t \\r`` in a scalar give null and show up in :func:`unparsed`.
+Containers may nest to any depth. Every escape of the syntax is read but character names (``\\N{...}``); those, cut-off
+ones and halves of a surrogate pair give null and show up in :func:`unparsed`.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from stratica.functions.clean import NONE_TEXT, decimal_float_text
 
-_SINGLE = r"'[^'\\\n]*(?:\\.[^'\\\n]*)*'"
-_DOUBLE = r'"[^"\\\n]*(?:\\.[^"\\\n]*)*"'
+_SINGLE = r"'[^'\\\n]*(?:\\[\s\S][^'\\\n]*)*'"
+_DOUBLE = r'"[^"\\\n]*(?:\\[\s\S][^"\\\n]*)*"'
 _TEXT = rf"[uU]?(?:{_SINGLE}|{_DOUBLE})"
 _FLOAT = r"[+-]?(?:[0-9]+\.[0-9]*|\.[0-9]+)"
 _INT = r"[+-]?(?:0+|[1-9][0-9]*)"
@@ -43,20 +43,40 @@ _PAIR = rf"({_ATOM})\s*:\s*({_VALUE})"
 _DICT = rf"^[ \t]*{_sequence(rf'{_ATOM}\s*:\s*{_VALUE}', '[{]', '[}]')}\s*$"
 
 _QUOTED = rf"^[ \t]*[uU]?({_SINGLE}|{_DOUBLE})\s*$"
-_HARD_ESCAPE = r"""\\[^'"\\ntr]"""
+# The one-letter escapes.
+_ESCAPES = {"'": "'", '"': '"', "\\": "\\", "\n": "", "a": "\x07", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
+_TOKEN = r"\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\[0-7]{1,3}|\\[\s\S]|[^\\]+"
 
 
 def _unescaped(body: Column) -> Column:
-    """Resolve the simple escapes; doubled backslashes are parked while the rest is replaced."""
-    parked = F.replace(body, F.lit("\\\\"), F.lit("\x00"))
-    for escape, char in (("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\t", "\t"), ("\\r", "\r")):
-        parked = F.replace(parked, F.lit(escape), F.lit(char))
-    return F.replace(parked, F.lit("\x00"), F.lit("\\"))
+    """The text behind the escapes, by tokens of the literal; null where one stands for no character.
+
+    A backslash before any other letter stands for itself, as in the syntax.
+    """
+    letters = F.create_map(*[F.lit(v) for pair in _ESCAPES.items() for v in pair])
+
+    def character(number: Column) -> Column:
+        whole = F.lpad(F.hex(number), 8, "0")
+        fits = (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.when(fits, F.decode(F.unhex(whole), "UTF-32"))
+
+    def read(token: Column) -> Column:
+        rest, letter = F.substring(token, 3, 8), F.substring(token, 2, 1)
+        return (
+            F.when(~token.startswith("\\"), token)
+            .when(token.rlike(r"^\\[0-7]"), character(F.conv(F.substring(token, 2, 3), 8, 10).cast("long")))
+            .when(letter.isin("x", "u", "U") & (F.length(token) > 2), character(F.conv(rest, 16, 10).cast("long")))
+            .when(letter.isin("x", "u", "U", "N"), F.lit(None))
+            .otherwise(F.coalesce(F.try_element_at(letters, letter), token))
+        )
+
+    tokens = F.transform(F.regexp_extract_all(body, F.lit(_TOKEN), 0), read)
+    return F.when(~F.exists(tokens, lambda t: t.isNull()), F.array_join(tokens, ""))
 
 
 def _without_quotes(text: Column) -> Column:
     body = F.regexp_replace(text, r"""^[uU]?['"]|['"]$""", "")
-    return F.when(body.contains("\\"), _unescaped(body)).otherwise(body)
+    return F.when(body.contains("\\"), F.coalesce(_unescaped(body), body)).otherwise(body)
 
 
 def _flattened(c: Column) -> Column:
@@ -108,9 +128,7 @@ def literal_text(c: Column) -> Column:
     return (
         F.when(
             c.rlike(_QUOTED),
-            F.when(~body.contains("\\"), body).when(
-                ~F.replace(body, F.lit("\\\\"), F.lit("")).rlike(_HARD_ESCAPE), _unescaped(body)
-            ),
+            F.when(body.contains("\\"), _unescaped(body)).otherwise(body),
         )
         .when(bare.isin("True", "False"), bare)
         .when(bare.rlike(rf"^{_INT}$"), integer)

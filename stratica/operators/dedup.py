@@ -23,9 +23,14 @@ def latest_by(df: DataFrame, key: str | list[str], order: list[Column], total: b
     return df.withColumn(_ROW, F.row_number().over(window)).where(F.col(_ROW) == 1).drop(_ROW)
 
 
-def one_per_entity(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Entity rows out of a fact-grain table, whose entity columns repeat on every fact."""
-    return df.select(key, *columns).dropDuplicates([key])
+def one_per_entity(df: DataFrame, key: str, columns: list[str], order: Column | None = None) -> DataFrame:
+    """Entity rows out of a fact-grain table, whose entity columns repeat on every fact.
+
+    Where they differ, the row highest in ``order`` stands for the entity, then the one with the highest values.
+    """
+    own = F.struct(*columns)
+    first = F.max(own) if order is None else F.max_by(own, F.struct(order, own))
+    return df.groupBy(key).agg(first.alias(_ROW)).select(key, *[F.col(f"{_ROW}.`{c}`") for c in columns])
 
 
 def salt_of(columns: list[str], salts: int) -> Column:

@@ -22,7 +22,9 @@ def entity_join(
     within: str | None = None,
     how: str = "inner",
     salts: int | None = None,
+    hot: DataFrame | None = None,
     spread_by: list[str] | None = None,
+    once: list[str] | None = None,
 ) -> DataFrame:
     """Join facts to their entity and resolve the columns both sides carry.
 
@@ -39,12 +41,25 @@ def entity_join(
     once per salt; pass ``salts`` for a stream against entities at rest whose keys are hot. Outer joins
     take no salts. The salt mixes a hash of ``spread_by`` (all fact columns by default) with the input partition, so that
     copies of one row spread as well; a retried task repeats its salts.
+
+    ``hot`` is a table at rest of the keys known to be hot with a number of salts each
+    (:func:`stratica.operators.profile.hot_keys`; at most one row per share): only these are spread, and an entity that
+    is not among them is kept once.
+
+    ``once`` names columns of the fact that identify it: facts that arrive again after the join
+    are dropped by a second stateful step under the same watermark. It takes a time bound, and one row per entity.
     """
     if how != "inner" and within is None and (entities.isStreaming and facts.isStreaming):
         raise ValueError("an outer stream-stream join never emits unmatched rows without a time bound")
     if how != "inner" and (salts or 1) > 1:
         raise ValueError("salts repeat the entities, which an outer join would show")
     streaming = entities.isStreaming or facts.isStreaming
+    if hot is not None:
+        if how != "inner" or salts is not None:
+            raise ValueError("hot keys take the place of salts, in inner joins")
+        salts = 1
+    if once and streaming and within is None:
+        raise ValueError("rows can be told from earlier ones for a bounded time only")
     if salts is None:
         salts = STREAM_SALTS if entities.isStreaming and facts.isStreaming and how == "inner" else 1
 
@@ -59,9 +74,17 @@ def entity_join(
         right = right.withColumn(_SALT, salt_of(spread, salts))
         left = left.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
+    if hot is not None:
+        few = F.broadcast(hot.select(key, F.col("salts").alias("_salts")))
+        spread = [_FACT_TS if c == stamp else c for c in spread_by or facts.columns]
+        right = right.join(few, key, "left")
+        right = right.withColumn(_SALT, F.when(F.col("_salts").isNotNull(), F.pmod(salt_of(spread, 1 << 30), F.col("_salts"))).otherwise(0)).drop("_salts")
+        left = left.join(few, key, "left")
+        left = left.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+
     left, right = left.alias("e"), right.alias("f")
     condition = F.col(f"e.{key}") == F.col(f"f.{key}")
-    if salts > 1:
+    if salts > 1 or hot is not None:
         condition &= F.col(f"e.{_SALT}") == F.col(f"f.{_SALT}")
     if within is not None:
         gap = F.expr(f"INTERVAL {within}")
@@ -76,11 +99,13 @@ def entity_join(
     later = F.greatest(F.col(f"e.{_ENTITY_TS}"), F.col(f"f.{_FACT_TS}"))
     # an inner join has both keys; an outer one shows whichever side is there
     own = F.col(f"e.{key}") if how == "inner" else F.coalesce(f"e.{key}", f"f.{key}")
-    return joined.select(
-        [own.alias(key) if c == key else F.col(f"e.{c}") for c in entities.columns if c != stamp]
-        + [F.col(f"f.{c}") for c in facts.columns if c not in (key, stamp)]
-        + [later.alias(stamp), F.to_date(later).alias(STAMP_DATE)]
-    )
+    shown = [own.alias(key) if c == key else F.col(f"e.{c}") for c in entities.columns if c != stamp]
+    shown += [F.col(f"f.{c}") for c in facts.columns if c not in (key, stamp)]
+    out = joined.select(*shown, later.alias(stamp), F.to_date(later).alias(STAMP_DATE), *([F.col(f"f.{_FACT_TS}")] if once else []))
+    if once:
+        # only the fact's own time is left of the two, so the watermark is one
+        out = (out.dropDuplicatesWithinWatermark([key, *once]) if streaming else out.dropDuplicates([key, *once])).drop(_FACT_TS)
+    return out
 
 
 def unmatched(rows: DataFrame, matched: DataFrame, key: str) -> DataFrame:

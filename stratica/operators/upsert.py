@@ -1,9 +1,10 @@
 """Keyed insert-or-overwrite without a table format.
 
-A batch lands in its own folder, named by the stream it comes from and its number there, so that a replay
-overwrites it and no other stream's batch does. The current state is the latest row of each key over all batches.
-Writing costs what the batch costs, whatever the size of the table, and a lost executor or a second
-attempt changes nothing. :func:`compact` folds the history into a new folder when reads get slow.
+An attempt at a batch lands in a folder of its own and is seen once it is committed (:mod:`stratica.sources.commits`) under the
+stream it comes from and its number there: a replay replaces it in one step, and no other stream's batch does. The
+current state is the latest row of each key over all batches. Writing costs what the batch costs, whatever the size of
+the table, and a lost executor or a second attempt changes nothing. :func:`compact` folds the history into a new
+folder when reads get slow; :class:`stratica.operators.keyed.KeyedTable` reads without a shuffle.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratica.operators.dedup import latest_by
+from stratica.sources.commits import CommitLog, new_attempt
 
 STREAM, BATCH_ID = "stream", "batch_id"
+_ATTEMPT = "_attempt"
 #: Stream labels sort by age; batches written by hand and folded histories come before any stream.
 BY_HAND, FOLDED = "0-batch", "0"
 
@@ -34,17 +37,36 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -
     return latest_by(target.unionByName(batch), key, order)
 
 
-def landing(path: str, batch_id: int) -> str:
-    return f"{path}/{STREAM}={getattr(batch_id, 'stream', BY_HAND)}/{BATCH_ID}={int(batch_id)}"
+def _stream(batch_id: int) -> str:
+    return getattr(batch_id, "stream", BY_HAND)
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Land one batch; the same stream and number always land in the same place. Keys should occur once in it."""
-    batch.drop(STREAM, BATCH_ID).write.mode("overwrite").parquet(landing(path, batch_id))
+def _folder(path: str, stream: str, batch_id: int, attempt: str) -> str:
+    return f"{path}/{STREAM}={stream}/{BATCH_ID}={int(batch_id)}/{_ATTEMPT}={attempt}"
+
 
+def land(batch: DataFrame, path: str, batch_id: int) -> str:
+    """Write a batch where no reader looks yet; returns the attempt to commit."""
+    attempt = new_attempt()
+    batch.drop(STREAM, BATCH_ID).write.parquet(_folder(path, _stream(batch_id), batch_id, attempt))
+    return attempt
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("basePath", path).parquet(path)
+
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Land and commit one batch; the same stream and number replaces itself. Keys should occur once in it."""
+    attempt = land(batch, path, batch_id)
+    CommitLog(batch.sparkSession, path).commit(_stream(batch_id), batch_id, attempt)
+
+
+def read_batches(spark: SparkSession, path: str, only: int | None = None) -> DataFrame:
+    """The rows of all committed batches, or of one."""
+    commits = CommitLog(spark, path).visible()
+    if only is not None:
+        commits = [c for c in commits if (c.stream, c.batch_id) == (_stream(only), int(only))]
+    if not commits:
+        raise ValueError(f"no finished batch in {path}")
+    folders = [_folder(path, c.stream, c.batch_id, c.attempt) for c in commits]
+    rows = spark.read.option("basePath", path).parquet(*folders).drop(_ATTEMPT)
     return rows.withColumns({STREAM: F.col(STREAM).cast("string"), BATCH_ID: F.col(BATCH_ID).cast("long")})
 
 

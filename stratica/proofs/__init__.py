@@ -6,6 +6,7 @@ A query sits next to the SQL that states its result independently; ``registry``
 from stratica.proofs import (  # noqa: F401  (importing registers)
     answers,
     cleaning,
+    increments,
     layers,
     quality,
     questions,

@@ -1,7 +1,7 @@
 """The documented questions, over the typed business-and-review table.
 
-Relational ones read the review-grain view; semantic ones search documents, each taken as a review
-of the business with its number, with every benchmark passage as a question.
+Relational ones read the review-grain view; semantic ones search all documents, each taken as a review
+of the business its number stands for, with every benchmark passage as a question.
 """
 
 from __future__ import annotations
@@ -98,11 +98,11 @@ def question_open_sundays(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as stored points, with the columns of their business."""
+    """All documents as stored points, with the columns of their business: numbers beyond the last start again at the first."""
     entities = clean_businesses(records.raw_businesses(spark, folder))
-    stored = stored_documents(spark, folder).select(
-        "point_id", F.col("point_id").cast("string").alias("business_id"), "embedding"
-    )
+    first, n = table(spark, folder, "customer").agg(F.min("c_custkey"), F.count("*")).first()
+    own = F.lit(first) + F.pmod("point_id", F.lit(n))
+    stored = stored_documents(spark, folder).select("point_id", own.cast("string").alias("business_id"), "embedding")
     return stored.join(entities, "business_id")
 
 
@@ -111,11 +111,14 @@ def _asked(spark: SparkSession, folder: str) -> DataFrame:
     return embed(questions, "text", task=QUERY, into="query_vector")
 
 
+_OWN = "CAST((SELECT min(c_custkey) FROM customer) + key % (SELECT count(*) FROM customer) AS VARCHAR)"
+
+
 def _semantic_sql(selected: str) -> str:
     """Top 10 of every passage among the documents of the selected businesses."""
     return f"""WITH b AS ({records.expected_businesses()}), chosen AS ({selected}),
         {cells("q", "item_id", "text", "benchmark")}, {cells("d", "doc_id", "text", "documents")},
-        {scores("q", "d", "CAST(key AS VARCHAR) IN (SELECT business_id FROM chosen)")}
+        {scores("q", "d", _OWN + " IN (SELECT business_id FROM chosen)")}
         SELECT q AS query_id, p AS point_id, CAST(rank AS INTEGER) AS rank, round(s, 4) AS score
         FROM best WHERE rank <= 10"""
 

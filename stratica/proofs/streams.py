@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratica.operators.dedup import dedup_within_watermark
 from stratica.operators.joins import entity_join
+from stratica.operators.profile import hot_keys
 from stratica.operators.upsert import current, read_batches
 from stratica.plans.medallion import start_bronze, vector_sink
 from stratica.proofs import records
@@ -229,6 +231,114 @@ def stream_join_late(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{at}/rows")
 
 
+@proof(_STREAM_JOIN)
+def silver_stream_join_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream join with salts for the keys found hot among facts at rest only; other entities are kept once."""
+    at = work_folder(spark, "hot-join")
+    entities, facts = _stream_sides(spark, folder)
+    known = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    joined = entity_join(entities, facts, "c_custkey", hot=hot_keys(known, "c_custkey", 0.001), spread_by=["o_orderkey"])
+    _drain(start_table_sink(joined, "silver_hot_join", f"{at}/checkpoint", ["c_mktsegment"], path=f"{at}/rows", trigger=None))
+    return spark.read.schema(joined.schema).parquet(f"{at}/rows")
+
+
+def _arrivals(spark: SparkSession, folder: str, label: str) -> tuple[str, dict[str, str], Callable[[DataFrame], None], Callable[[str], DataFrame]]:
+    """Signups and purchases as two folders that grow: the place, how to add events, and how to read a side as a stream."""
+    at, sides = work_folder(spark, label), {"signup": "signup_id", "purchase": "purchase_id"}
+
+    def arrive(events: DataFrame) -> None:
+        for kind, name in sides.items():
+            rows = events.where(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(name), "ts")
+            rows.coalesce(1).write.mode("append").parquet(f"{at}/{kind}")
+
+    def read(kind: str) -> DataFrame:
+        return spark.readStream.schema(f"user_id long, {sides[kind]} long, ts timestamp").parquet(f"{at}/{kind}")
+
+    return at, sides, arrive, read
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@proof(
+    """SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id
+       FROM events s JOIN events p ON s.user_id = p.user_id AND s.event_type = 'signup' AND p.event_type = 'purchase'
+        AND p.ts BETWEEN s.ts - INTERVAL 1 DAY AND s.ts + INTERVAL 1 DAY"""
+)
+def stream_join_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts that arrive twice, before and after a restart, joined and then kept once in the same query."""
+    events = _events(spark, folder)
+    at, _, arrive, read = _arrivals(spark, folder, "join-once")
+    early = F.col("ts") < "2024-01-25"
+    again = events.where((F.col("event_type") == "purchase") & (F.col("ts") >= "2024-01-24") & early)
+    for arrived in (events.where(early), again.unionByName(events.where(~early))):
+        arrive(arrived)
+        joined = entity_join(read("signup"), read("purchase"), "user_id", stamp="ts", within="1 day", once=["signup_id", "purchase_id"], salts=1)
+        _drain(joined.select("user_id", "signup_id", "purchase_id").writeStream.format("parquet")
+               .option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/rows"))
+    return spark.read.parquet(f"{at}/rows")
+
+
+@proof(
+    """SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id
+       FROM (SELECT * FROM events WHERE event_type = 'signup') s LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+         ON s.user_id = p.user_id AND p.ts BETWEEN s.ts - INTERVAL 1 DAY AND s.ts + INTERVAL 1 DAY"""
+)
+def stream_outer_join(spark: SparkSession, folder: str) -> DataFrame:
+    """A left join of streams: a row without a partner is given once the watermark says none can come."""
+    events = _events(spark, folder)
+    at, _, arrive, read = _arrivals(spark, folder, "outer-join")
+    # a later event of each kind moves time past the end
+    end = events.groupBy("event_type").agg(F.max("ts").alias("ts")).select(
+        F.lit(-1).cast("long").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts"), F.lit(-1).cast("long").alias("user_id"), "event_type"
+    )
+    early = F.col("ts") < "2024-01-20"
+    kept = events.select("event_id", "ts", "user_id", "event_type")
+    for arrived in (kept.where(early), kept.where(~early), end, end.withColumn("ts", F.col("ts") + F.expr("INTERVAL 100 DAYS"))):
+        arrive(arrived)
+        joined = entity_join(read("signup"), read("purchase"), "user_id", stamp="ts", within="1 day", how="left")
+        _drain(joined.select("user_id", "signup_id", "purchase_id").writeStream.format("parquet")
+               .option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/rows"))
+    return spark.read.parquet(f"{at}/rows").where("signup_id >= 0")
+
+
+@proof(
+    """SELECT 'orders' AS query, 'stopped' AS ended, (SELECT count(*) FROM orders) AS rows
+       UNION ALL SELECT 'customers', 'failed', 0"""
+)
+def stream_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """Two queries under one supervisor, one of which fails in its sink: the other's rows are there, the reason is named."""
+    at = work_folder(spark, "failure")
+    streams = {name: table(spark, folder, source) for name, source in (("orders", "orders"), ("customers", "customer"))}
+    orders = read_folder_stream(spark, _staged(streams["orders"], "orders"), streams["orders"].schema, _WHOLE)
+    customers = read_folder_stream(spark, _staged(streams["customers"], "customers"), streams["customers"].schema, _WHOLE)
+
+    def refuse(batch: DataFrame, number: int) -> None:
+        raise ConnectionError("sink broke")
+
+    started = lambda frame, name: frame.queryName(name).option("checkpointLocation", f"{at}/{name}-checkpoint").trigger(availableNow=True)
+    good = started(orders.writeStream.format("parquet"), "orders").start(f"{at}/orders")
+    good.awaitTermination()
+    bad = started(customers.writeStream.foreachBatch(refuse), "customers").start()
+    reasons = supervise(spark, [good, bad], poll_seconds=0.5, until_all_done=True)
+    ended = spark.createDataFrame([(q, r.split(":")[0]) for q, r in reasons.items()], "query string, ended string")
+    rows = spark.read.schema(streams["orders"].schema).parquet(f"{at}/orders").agg(F.lit("orders").alias("query"), F.count(F.lit(1)).alias("n"))
+    return ended.join(rows, "query", "left").select("query", "ended", F.coalesce("n", F.lit(0)).cast("long").alias("rows"))
+
+
+@proof("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 4 = 1")
+def stream_empty_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream some of whose batches are empty after a filter: those reach no sink and set nothing aside."""
+    at = work_folder(spark, "empty")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    for part in range(4):
+        orders.where(F.col("o_orderkey") % 4 == part).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    stream = read_folder_stream(spark, f"{at}/in", orders.schema, 1).where("o_orderkey % 4 = 1")
+    _drain(fan_out(stream, {"sql": append_sink(f"{at}/sql")}, f"{at}/checkpoint", f"{at}/dead", trigger=None))
+    return read_batches(spark, f"{at}/sql").drop("stream", "batch_id")
+
+
 def _document_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in the shape of typed facts; columns they have no value for are null."""
     documents = table(spark, folder, "documents").select(

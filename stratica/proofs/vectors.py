@@ -152,7 +152,7 @@ def embed_documents(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", embedding_text(F.col("source"), F.col("lang"), F.col("text")).alias("body")
     )
     weighted = F.transform("embedding", lambda v, i: v.cast("double") * i)
-    return embed(docs, "body").select(
+    return embed(docs, "body", partitions=spark.sparkContext.defaultParallelism).select(
         "doc_id",
         F.size("embedding").alias("dims"),
         F.size(F.filter("embedding", lambda v: v > 0)).cast("bigint").alias("filled"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,20 @@ def leaf_path(flat: str, nested: T.StructType, sep: str = "_") -> list[str]:
     return []
 
 
+def first_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows in the order of the scan, each split keeping its share.
+
+    The rows are scanned twice, once to be counted per split; only the counts, a row per split, are brought together.
+    """
+    split, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    counts = placed.groupBy(split.alias("_split")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    shares = counts.select("_split", (F.lit(limit) - before).alias("_share")).where("_share > 0")
+    kept = placed.withColumn("_split", split).join(F.broadcast(shares), "_split").where(place < F.col("_share"))
+    return kept.select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def read_ndjson(
     spark: SparkSession,
     path: str,
@@ -90,7 +104,7 @@ def read_ndjson(
 ) -> DataFrame:
     """Records as flat contract rows, all strings. ``limit`` 0 reads everything.
 
-    A limit gathers its lines in one task; ``partitions`` deals them out again before they are parsed.
+    A limit is shared out to the file splits (see :func:`first_rows`); ``partitions`` deals lines out before they are parsed.
     Malformed records fail the job, or are left out with ``fail=False`` (see :func:`malformed`).
 
     A missing path fails when the job is planned. Which rows a limit keeps follows file order,
@@ -98,7 +112,7 @@ def read_ndjson(
     """
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     if limit:
-        lines = lines.limit(limit)
+        lines = first_rows(lines, limit)
     if partitions:
         lines = lines.repartition(partitions)
     records = parse_records(lines, nested, fail=fail)

@@ -89,13 +89,13 @@ def read_folder_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def analytics_view(df: DataFrame, name: str, key: str | list[str], order: list) -> DataFrame:
+def analytics_view(df: DataFrame, name: str, key: str | list[str], order: list, total: bool = False) -> DataFrame:
     """Register the latest row of each key as the only relation SQL questions see.
 
-    The order has to be total up to identical copies; questions then read only the key, the order
-    and the columns they name.
+    Ties of the order fall to a hash of the row. Where the order is known to be ``total`` (up to identical copies),
+    questions read only the key, the order and the columns they name.
     """
-    view = latest_by(df, key, order, total=True)
+    view = latest_by(df, key, order, total=total)
     view.createOrReplaceTempView(name)
     return view
 

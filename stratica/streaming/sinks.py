@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratica.operators.upsert import BATCH_ID, STREAM, BatchId, landing, write_batch
+from stratica.operators.upsert import BATCH_ID, STREAM, BatchId, read_batches, write_batch
 
 # Trigger intervals (fixed values).
 TABLE_TRIGGER = "10 seconds"
@@ -57,9 +57,10 @@ def stream_label(spark: SparkSession, checkpoint: str) -> str:
 
 
 def append_sink(path: str) -> Sink:
-    """Append-only load: executors write the batch into a folder of its stream and number.
+    """Append-only load: executors write the batch, and a commit under its stream and number makes it visible.
 
-    A replay replaces its own batch only; other streams, and the same stream from a new checkpoint, add to it.
+    A replay replaces its own batch only; other streams, and the same stream from a new checkpoint, add to it. Readers
+    (:func:`stratica.operators.upsert.read_batches`) never see a batch in part.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -84,12 +85,16 @@ def fan_out(
     committed all the same.
     """
 
+    label: list[str] = []  # read from the checkpoint by the first batch
+
     def process(batch: DataFrame, number: int) -> None:
         kept = batch.persist()
         try:
             if kept.isEmpty():
                 return
-            batch_id = BatchId(number, stream_label(batch.sparkSession, checkpoint))
+            if not label:
+                label.append(stream_label(batch.sparkSession, checkpoint))
+            batch_id = BatchId(number, label[0])
             for name, sink in sinks.items():
                 try:
                     sink(kept, batch_id)
@@ -151,7 +156,7 @@ def replay(spark: SparkSession, dead_letters: str, sinks: dict[str, Sink]) -> in
     done = 0
     for entry in open_entries.collect():
         batch_id = BatchId(entry[BATCH_ID], entry[STREAM])
-        rows = spark.read.parquet(landing(f"{dead_letters}/rows/{entry['sink']}", batch_id))
+        rows = read_batches(spark, f"{dead_letters}/rows/{entry['sink']}", batch_id).drop(STREAM, BATCH_ID)
         try:
             sinks[entry["sink"]](rows, batch_id)
         except Exception as error:  # the rows stay where they are
