@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratica.operators.dedup import STREAM_SALTS, salt_of
@@ -108,15 +108,17 @@ def entity_join(
     return out
 
 
-def unmatched(rows: DataFrame, matched: DataFrame, key: str) -> DataFrame:
+def unmatched(rows: DataFrame, matched: DataFrame, key: str, may: Column | None = None) -> DataFrame:
     """Rows whose key does not occur among the matched ones; a null key never matches.
 
     Rows without a key skip the join, where they would all hash to one task; the scan that finds
     them prunes on null counts. Matched keys are made distinct first: copies of a hot key collapse
-    before the shuffle, and the join reuses that shuffle.
+    before the shuffle, and the join reuses that shuffle. ``may`` says of a row whether its key may be matched at all
+    (:func:`stratica.operators.bloom.may_contain`): the others are not shuffled either.
     """
-    keyed = rows.where(F.col(key).isNotNull())
-    keyless = rows.where(F.col(key).isNull())
+    asked = F.col(key).isNotNull() if may is None else F.col(key).isNotNull() & may
+    keyed = rows.where(asked)
+    keyless = rows.where(~asked)
     return keyed.join(matched.select(key).distinct(), key, "left_anti").select(rows.columns).unionByName(keyless)
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratica.operators.bloom import BITS, may_contain
 from stratica.operators.joins import unmatched
 from stratica.sources.tables import folder_bytes
 
@@ -27,6 +28,7 @@ def reconcile(
     entities: DataFrame | None = None,
     entity_key: str = "business_id",
     quarantined: DataFrame | None = None,
+    may: Column | None = None,
     at: Column | None = None,
     stamp: str = "ingestion_timestamp",
     stamp_date: str = "ingestion_date",
@@ -35,10 +37,11 @@ def reconcile(
 
     With ``entities`` given, a row whose entity does exist was late or lost rather than unmatched.
     With ``quarantined`` given, rows already there are not reported again, so a second run adds
-    nothing; rows are recognised by all their raw columns, nulls included.
+    nothing; rows are recognised by all their raw columns, nulls included. ``may`` spares rows whose key is certainly
+    not joined the shuffle (see ``unmatched``).
     """
     carried = [c for c in raw.columns if c not in (stamp, stamp_date)]
-    missing = unmatched(raw, joined, key)
+    missing = unmatched(raw, joined, key, may)
     if quarantined is not None:
         # the object leaves null members out, which keeps a null apart from any text
         digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in carried])), 256)
@@ -57,6 +60,22 @@ def reconcile(
     )
 
 
+def reconcile_since(
+    raw: DataFrame, joined: DataFrame, key: str, stored: DataFrame, since: str | None, until: str | None = None, *,
+    stamp_date: str = "ingestion_date", bits: int = BITS, **options,
+) -> DataFrame:
+    """:func:`reconcile` of the raw rows that landed from ``since`` up to before ``until``; other dates are not read.
+
+    A joined row carries the later stamp of both sides, so no key of these rows is joined under an earlier date: of the joined table, and of its ``stored`` filters
+    ``(date, piece, bits)``, earlier dates are left out too.
+    """
+    day = F.col(stamp_date).cast("string")
+    late = F.lit(True) if since is None else day >= since
+    part = raw.where(late if until is None else late & (day < until))
+    held = stored if since is None else stored.where(F.col("date").cast("string") >= since)
+    return reconcile(part, joined.where(late), key, may=may_contain(held, F.col(key), bits), stamp_date=stamp_date, **options)
+
+
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """One row per layer with its row count."""
     counted = [

@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratica.operators.bloom import filters
 from stratica.operators.profile import distinct_counts, profile
-from stratica.operators.quality import layer_counts, reconcile, sink_audit
-from stratica.proofs.registry import proof, table
+from stratica.operators.quality import layer_counts, reconcile, reconcile_since, sink_audit
+from stratica.operators.upsert import read_batches, write_batch
+from stratica.proofs.registry import ORACLES, proof, table
 from stratica.session import work_folder
 
 
@@ -54,6 +56,24 @@ def quarantine_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(at, f"{at}-second").drop("quarantine_timestamp")
 
 
+_BITS = 1 << 17
+
+
+@proof(ORACLES["quarantine_reconcile"])
+def quarantine_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    """Reconciled date by date: filters of the joined keys are stored as they land, and the second run reads its own dates only."""
+    at, cut = work_folder(spark, "by-date"), "1998-06-01"
+    raw, known = _raw_reviews(spark, folder), _known(spark, folder)
+    joined = _joined(spark, folder).join(raw.select("review_id", "ingestion_date"), "review_id")
+    for number, (since, until) in enumerate(((None, cut), (cut, None))):
+        landed = joined.where(F.col("ingestion_date") < cut if until else F.col("ingestion_date") >= cut)
+        write_batch(filters(landed, "review_id", "ingestion_date", _BITS), f"{at}/filters", number)
+        stored = read_batches(spark, f"{at}/filters")
+        rows = reconcile_since(raw, joined, "review_id", stored, since, until, bits=_BITS, entities=known)
+        write_batch(rows, f"{at}/quarantine", number)
+    return read_batches(spark, f"{at}/quarantine").drop("quarantine_timestamp", "stream", "batch_id")
+
+
 _PROFILED = {
     "events": ["event_type", "user_id", "props"],
     "part": ["p_brand", "p_type", "p_size", "p_name"],

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratica.functions.literals import literal_text
-from stratica.operators import profile, pruned, upsert
+from stratica.operators import bloom, profile, pruned, upsert
 from stratica.operators.dedup import one_per_entity
-from stratica.operators.joins import entity_join
+from stratica.operators.joins import entity_join, unmatched
 from stratica.operators.keyed import KeyedTable
 from stratica.operators.vectors import vector_topk
 from stratica.session import work_folder
@@ -164,3 +164,21 @@ def test_escapes_equal_python(spark):
 
     frame = spark.createDataFrame([(v,) for v in [*ESCAPED, r"'\ud83d'", r"'\N{DASH}'"]], "v string")
     assert [r[0] for r in frame.select(literal_text(F.col("v"))).collect()] == [python_text(v) for v in ESCAPED] + [None, None]
+
+
+def test_filters_miss_no_key(spark):
+    bits = 1 << 16
+    keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 3).cast("string").alias("day"))
+    stored = bloom.filters(keys.unionByName(keys.limit(1).withColumn("k", F.lit(None))), "k", "day", bits)
+    asked = spark.range(9000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    answers = asked.select("id", bloom.may_contain(stored, F.col("k"), bits).alias("may")).collect()
+    assert all(r["may"] for r in answers if r["id"] < 4000)
+    assert sum(r["may"] for r in answers if r["id"] >= 4000) < 250
+    day = bloom.may_contain(stored.where("date = '1'"), F.col("k"), bits)
+    some = asked.where(day & (F.col("id") < 4000)).count()
+    assert 1333 <= some < 1400
+    rows_ = asked.unionByName(asked.limit(1).withColumn("k", F.lit(None)))
+    for may in (None, bloom.may_contain(stored, F.col("k"), bits)):
+        assert unmatched(rows_, keys, "k", may).count() == 5001
+    nothing = bloom.may_contain(stored.limit(0), F.col("k"), bits)
+    assert asked.where(nothing).count() == 0
