@@ -52,7 +52,6 @@ def append_committed(spark: SparkSession, folder: str) -> DataFrame:
     return read_batches(spark, at).drop("stream", "batch_id")
 
 
-_HALF = F.col("o_orderkey") % 2
 _SMALL = ["o_orderstatus", "o_orderpriority"]
 
 
@@ -61,7 +60,7 @@ def _states(spark: SparkSession, folder: str) -> DataFrame:
     at = work_folder(spark, "profiles")
     orders = table(spark, folder, "orders")
     for half in (0, 1):
-        write_batch(profile_state(orders.where(_HALF == half), [*_SMALL, "o_custkey", "o_orderkey"], F.lit(half)), at, half)
+        write_batch(profile_state(orders.where(F.col("o_orderkey") % 2 == half), [*_SMALL, "o_custkey", "o_orderkey"], F.lit(half)), at, half)
     return read_batches(spark, at)
 
 
