@@ -212,13 +212,13 @@ ORACLES: dict[str, str] = {
       WITH t AS (SELECT DISTINCT conv_id, turn, lower(trim(role)) AS role, coalesce(text, '') AS text FROM conversations),
       n AS (SELECT conv_id, turn, text, CASE WHEN role IN ('gpt', 'bot', 'ai', 'model') THEN 'assistant' WHEN role = 'human' THEN 'user'
                    WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS role FROM t),
-      p AS (SELECT conv_id, row_number() OVER o AS k, string_agg(role || chr(1) || text, chr(2)) OVER o AS said,
+      p AS (SELECT conv_id, role, text, row_number() OVER o AS k, string_agg(role || chr(1) || text, chr(2)) OVER o AS said,
                    count(*) OVER (PARTITION BY conv_id) AS n FROM n WINDOW o AS (PARTITION BY conv_id ORDER BY turn)),
       whole AS (SELECT said, min(conv_id) AS conv_id, any_value(n) AS n_turns FROM p WHERE k = n GROUP BY said),
       kept AS (SELECT conv_id, n_turns FROM whole WHERE said NOT IN (SELECT said FROM p WHERE k < n))
-      SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, CAST(coalesce(floor(turn / {chat.CELL}), 0) AS BIGINT) AS part,
-             string_agg('{chat.OPEN}' || role || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}', chr(10) ORDER BY turn) AS text
-      FROM n JOIN kept USING (conv_id) GROUP BY ALL""",
+      SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, CAST((k - 1) // {chat.PART} AS BIGINT) AS part,
+             string_agg('{chat.OPEN}' || role || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}', chr(10) ORDER BY k) AS text
+      FROM p JOIN kept USING (conv_id) GROUP BY conv_id, n_turns, (k - 1) // {chat.PART}""",
     "op11_occurrence_join": r"""
       WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -157,9 +157,39 @@ def test_snapshots_collapse(spark):
 
 
 def test_long_conversations_come_in_parts(spark):
-    n = 2 * chat.CELL + 10
+    n = 2 * chat.PART + 10
     logs = [(c, t, "user", str(t)) for c, m in ((1, n), (2, n - 5)) for t in range(m)]
     frame = spark.createDataFrame(logs, "conv_id long, turn long, role string, text string")
     rows = sorted(chat.rendered(frame).collect(), key=lambda r: r["part"])
     assert [(r["conv_id"], r["n_turns"], r["part"]) for r in rows] == [(1, n, 0), (1, n, 1), (1, n, 2)]
     assert sum(r["text"].count("<|im_start|>") for r in rows) == n
+
+
+def slow_chats(logs):
+    """{conversation id: (turns, text)} of those that are no prefix and no copy of another."""
+    own = {}
+    for conv, turn, role, text in dict.fromkeys(logs):
+        own.setdefault(conv, []).append((turn is not None, turn or 0, role, text or ""))
+    said = {c: [(role, text) for _, _, role, text in sorted(rows)] for c, rows in own.items()}
+    order = sorted(said, key=lambda c: (c is None, c or 0))
+    kept = {}
+    for i, c in enumerate(order):
+        copies = any(said[d] == said[c] for d in order[:i])
+        if not copies and not any(len(said[d]) > len(said[c]) and said[d][: len(said[c])] == said[c] for d in order):
+            kept[c] = (len(said[c]), "\n".join(f"<|im_start|>{r}\n{t}<|im_end|>" for r, t in said[c]))
+    return kept
+
+
+@pytest.mark.parametrize("part", [2, 1024])
+def test_turn_numbers_do_not_matter(spark, monkeypatch, part):
+    """Sparse and negative turn numbers, null ids, other columns; sums over small cells."""
+    monkeypatch.setattr(chat, "PART", part)
+    logs = [(1, 0, "user", "a"), (1, 5000, "assistant", "b"), (2, -7, "user", "a"), (2, 10**15, "assistant", "b"), (2, 10**16, "user", "c")]
+    logs += [(3, t * 3_600_000, "user" if t % 2 else "assistant", f"t{t}") for t in range(9)]
+    logs += [(4, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(7)]
+    logs += [(None, None, "user", "x"), (None, 3, "user", "y"), (None, 3, "user", "y"), (5, 0, "user", "z" * 100_000)]
+    frame = spark.createDataFrame([(*r, "p", 1) for r in logs], "conv_id long, turn long, role string, text string, part string, place int")
+    found = {r["conv_id"]: (r["n_turns"], r["text"]) for r in chat.rendered(frame, 1024).collect()}
+    assert found == slow_chats(logs)
+    pieces = chat.rendered(frame, 4).where("conv_id = 3").collect()
+    assert sorted((r["part"], r["n_turns"]) for r in pieces) == [(0, 9), (1, 9), (2, 9)]
