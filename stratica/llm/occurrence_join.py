@@ -51,8 +51,8 @@ SAMPLE, SLOTS, OFTEN = 20_000, 1 << 22, 8
 #: Queries of a cell, and shingles of the partners indexed at a time.
 QUERIES, BLOCK = 256, 1 << 20
 #: Rounds of neighbours before all open pairs are looked at; more of them leave fewer pairs, never other links.
-ROUNDS = 3
-_MEMBER = ("key", "size", "place", "own", "parity")
+ROUNDS = 2
+_MEMBER = ("key", "size", "place", "own")
 _LEAST_BITS = 256
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -238,16 +238,22 @@ def _bound(least: tuple[int, int], m: str, n: str, i: str, j: str) -> Column:
 
 
 def _searched(least: tuple[int, int]):
-    """Links of each cell; rows are cell, asks, held, key and set, those that ask first."""
+    """Links that hold each cell's groups together; rows are cell, asks, held, key and set, those that ask first."""
     p, q = least
 
-    def links(queries: list[tuple[int, np.ndarray]], held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    def links(queries: list[tuple[int, np.ndarray]], held: list[tuple[int, np.ndarray]], root: dict[int, int]) -> pa.RecordBatch:
+        def find(key: int) -> int:
+            while (up := root.setdefault(key, key)) != key:
+                root[key] = key = root.setdefault(up, up)
+            return key
+
         index = Index([s for _, s in held])
         a, b = [], []
         for key, own in queries:
             for i, overlap in index.partners(own, least).items():
                 other, others = held[i]
-                if key != other and overlap * (p + q) >= (len(own) + len(others)) * p:
+                if overlap * (p + q) >= (len(own) + len(others)) * p and (x := find(key)) != (y := find(other)):
+                    root[x] = y
                     a.append(max(key, other))
                     b.append(min(key, other))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -262,7 +268,7 @@ def _searched(least: tuple[int, int]):
 
     def body(batches):
         for _, members in groupby(rows(batches), key=lambda r: r[0]):
-            queries, held, total = [], [], 0
+            queries, held, total, root = [], [], 0, {}
             for _, asks, listed, key, own in members:
                 if asks:
                     queries.append((key, own))
@@ -271,10 +277,10 @@ def _searched(least: tuple[int, int]):
                     total += len(own)
                 # rows that ask come first: only when they are all there is a block searched
                 if total >= BLOCK and not asks:
-                    yield links(queries, held)
+                    yield links(queries, held, root)
                     held, total = [], 0
             if held:
-                yield links(queries, held)
+                yield links(queries, held, root)
 
     return body
 
@@ -327,28 +333,29 @@ def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[
     found = _verified(chain, parities, texts, size, least)
     shared = _merged_lists(shared)
     for turn in range(ROUNDS):
-        open_ = _open_lists(shared, found, parities)
+        open_ = _open_lists(shared, found)
         line = Window.partitionBy("shingle").orderBy(F.xxhash64(F.lit(turn), "key"), "key")
-        ahead = [F.lead(c).over(line).alias(n) for c, n in zip(_MEMBER, "bnjhy", strict=True)]
-        pairs = open_.select(*(F.col(c).alias(n) for c, n in zip(_MEMBER, "amigx", strict=True)), *ahead)
+        ahead = [F.lead(c).over(line).alias(n) for c, n in zip(_MEMBER, "bnjh", strict=True)]
+        pairs = open_.select(*(F.col(c).alias(n) for c, n in zip(_MEMBER, "amig", strict=True)), *ahead)
         pairs = written(pairs.where(_may_link(least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-round")
         new = _verified(pairs, parities, texts, size, least)
         if new.isEmpty():
             break
         found = found.unionByName(new)
-    open_ = _open_lists(shared, found, parities)
-    named = lambda names: [F.col(c).alias(n) for c, n in zip(_MEMBER, names, strict=True)]
+    open_ = _open_lists(shared, found).join(parities.select("key", "parity"), "key")
+    open_ = written(open_, "join-open-parities")
+    named = lambda names: [F.col(c).alias(n) for c, n in zip((*_MEMBER, "parity"), names, strict=True)]
     outside = open_.where("own <> largest").select("shingle", *named("amigx"))
     # both outside: one order is enough
     once = (F.col("h") == F.col("largest")) | (F.col("a") < F.col("b"))
-    pairs = outside.join(open_.select("shingle", "largest", *named("bnjhy")), "shingle").where(once & _may_link(least))
+    pairs = outside.join(open_.select("shingle", "largest", *named("bnjhy")), "shingle").where(once & _may_link(least) & alike(least))
     rest = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-rest")
     return found if rest.isEmpty() else found.unionByName(_verified(rest, parities, texts, size, least))
 
 
 def _may_link(least: tuple[int, int]) -> Column:
-    """Whether a (size m, place i, group g, parity x) and b (n, j, h, y) may be similar and are not yet in one group."""
-    return (F.col("g") != F.col("h")) & _bound(least, "m", "n", "i", "j") & alike(least)
+    """Whether a (size m, place i, group g) and b (n, j, h) may be similar and are not yet in one group."""
+    return (F.col("g") != F.col("h")) & _bound(least, "m", "n", "i", "j")
 
 
 def _merged_lists(shared: DataFrame) -> DataFrame:
@@ -360,15 +367,14 @@ def _merged_lists(shared: DataFrame) -> DataFrame:
     return written(rows, "join-lists")
 
 
-def _open_lists(shared: DataFrame, found: DataFrame, parities: DataFrame) -> DataFrame:
-    """Members of the lists on which several groups are left, with their group ``own``, the list's ``largest`` and their parity."""
+def _open_lists(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the lists on which several groups are left, with their group ``own`` and the list's ``largest``."""
     groups = written(components(found), "join-components")
     members = shared.join(groups, F.col("key") == F.col("node"), "left")
     members = written(members.select("shingle", "key", "size", "place", F.coalesce("component", "key").alias("own")), "join-members")
     counted = members.groupBy("shingle", "own").agg(F.count("*").alias("n"))
     largest = counted.groupBy("shingle").agg(F.max_by("own", F.struct("n", "own")).alias("largest"), F.count("*").alias("groups"))
-    rows = members.join(largest.where("groups > 1").drop("groups"), "shingle").join(parities.select("key", "parity"), "key")
-    return written(rows, "join-open")
+    return written(members.join(largest.where("groups > 1").drop("groups"), "shingle"), "join-open")
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
