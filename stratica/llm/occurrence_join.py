@@ -50,8 +50,6 @@ MU = 0.0085
 SAMPLE, SLOTS, OFTEN = 20_000, 1 << 22, 8
 #: Queries of a cell, and shingles of the partners indexed at a time.
 QUERIES, BLOCK = 256, 1 << 20
-#: Rounds of neighbours before all open pairs are looked at; more of them leave fewer pairs, never other links.
-ROUNDS = 2
 _MEMBER = ("key", "size", "place", "own")
 _LEAST_BITS = 256
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -313,10 +311,11 @@ def _verified(pairs: DataFrame, parities: DataFrame, texts: DataFrame, size: int
     return written(dealt.mapInArrow(_searched(least), "a long, b long").distinct(), "join-links")
 
 
-def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
+def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST, rounds: int = 0) -> DataFrame:
     """Links ``(a, b)`` of keys that keep every group of similar texts together.
 
-    ``table`` is what :func:`prepared` gives, ``texts(key, text)`` the texts behind it.
+    ``table`` is what :func:`prepared` gives, ``texts(key, text)`` the texts behind it. ``rounds`` of neighbours in other orders
+    come before all open pairs are looked at: they cost a scan each, and pay where a low similarity leaves many groups on a list. They never change the groups.
     """
     listed = table.where(F.col("lists").isNotNull())
     postings = listed.select("key", "size", "rare", F.posexplode("lists").alias("place", "shingle"))
@@ -332,7 +331,7 @@ def links(table: DataFrame, texts: DataFrame, size: int = SHINGLE, least: tuple[
     chain = written(chain.select(F.least("key", "next_key").alias("a"), F.greatest("key", "next_key").alias("b")).distinct(), "join-chain")
     found = _verified(chain, parities, texts, size, least)
     shared = _merged_lists(shared)
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         open_ = _open_lists(shared, found)
         line = Window.partitionBy("shingle").orderBy(F.xxhash64(F.lit(turn), "key"), "key")
         ahead = [F.lead(c).over(line).alias(n) for c, n in zip(_MEMBER, "bnjh", strict=True)]
@@ -377,11 +376,11 @@ def _open_lists(shared: DataFrame, found: DataFrame) -> DataFrame:
     return written(members.join(largest.where("groups > 1").drop("groups"), "shingle"), "join-open")
 
 
-def grouped(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
+def grouped(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST, rounds: int = 2) -> DataFrame:
     """``(node, component)`` of the keys (:func:`key_of`) of all texts that have a partner; ``docs`` needs text."""
     small_batches(docs.sparkSession)
     texts = docs.select(key_of(F.col("text")).alias("key"), "text")
-    return components(links(prepared(texts, size, least), texts, size, least))
+    return components(links(prepared(texts, size, least), texts, size, least, rounds))
 
 
 def joined(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
