@@ -51,7 +51,7 @@ SAMPLE, SLOTS, OFTEN = 20_000, 1 << 22, 8
 #: Queries of a cell, and shingles of the partners indexed at a time.
 QUERIES, BLOCK = 256, 1 << 20
 _MEMBER = ("key", "size", "place", "own")
-_LEAST_BITS = 256
+_LEAST_BITS = 64
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -92,9 +92,15 @@ def short_lists(found: np.ndarray, common: np.ndarray, least: tuple[int, int]) -
     return found[order[: len(found) - occurrences(len(found), least) + 1]]
 
 
-def parity(found: np.ndarray) -> np.ndarray:
-    """Of each of 2^k cells (as many as shingles, or up to twice), whether an odd number of shingles falls into it; packed in longs."""
-    bits = max(_LEAST_BITS, 1 << max(0, len(found) - 1).bit_length())
+def parity(found: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """Of each of 2^k cells, whether an odd number of shingles falls into it; packed in longs.
+
+    There are five to ten times as many cells as shingles in which a partner of like size may differ: sets without likeness
+    then differ in far more cells than allowed.
+    """
+    p, q = least
+    need = 10 * len(found) * (q - p) // (p + q)
+    bits = max(_LEAST_BITS, 1 << max(0, need - 1).bit_length())
     return np.packbits(np.bincount(found & (bits - 1), minlength=bits) & 1, bitorder="little").view("<i8")
 
 
@@ -218,7 +224,7 @@ def prepared(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
         common[often[0]] = often[1]
         for batch, sets, sizes in _texts(batches, size):
             lists = [None if s is None or not len(s) else short_lists(s, common, least) for s in sets]
-            marks = [None if s is None or not len(s) else parity(s) for s in sets]
+            marks = [None if s is None or not len(s) else parity(s, least) for s in sets]
             rare = [None if s is None else int((common[_slot(s)] == 0).sum()) for s in sets]
             longs = pa.list_(pa.int64())
             more = [pa.array(sizes, pa.int64()), pa.array(rare, pa.int64()), pa.array(lists, longs), pa.array(marks, longs)]

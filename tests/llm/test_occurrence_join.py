@@ -91,7 +91,7 @@ def test_similar_sets_meet_within_the_bound(spark, common, least):
         if overlap * (p + q) < (len(a) + len(b)) * p:
             continue
         met += 1
-        marks.append((len(a), len(b), oj.parity(a).tolist(), oj.parity(b).tolist()))
+        marks.append((len(a), len(b), oj.parity(a, least).tolist(), oj.parity(b, least).tolist()))
         x, y = (oj.short_lists(s, ranks, least).tolist() for s in (a, b))
         i, j = next((i, y.index(s)) for i, s in enumerate(x) if s in y)
         assert min(len(a) - i, len(b) - j) * (p + q) >= (len(a) + len(b)) * p
