@@ -364,10 +364,13 @@ def _may_link(least: tuple[int, int]) -> Column:
 
 
 def _merged_lists(shared: DataFrame) -> DataFrame:
-    """Lists with the same members as one, each member at its first place: a passage of many shingles is many such lists."""
+    """Lists with the same members as one, each member at its first place: a passage of many shingles is many such lists.
+
+    Lists of two members are left out: these are neighbours, and compared as such.
+    """
     members = shared.select("shingle", "key", "size", "place").distinct()
     mark = F.xxhash64(F.expr("bit_xor(xxhash64(key))"), F.expr("bit_xor(xxhash64(key, 1))"), F.count("*"))
-    marks = members.groupBy("shingle").agg(mark.alias("mark"))
+    marks = members.groupBy("shingle").agg(mark.alias("mark"), F.count("*").alias("n")).where("n > 2").drop("n")
     rows = members.join(marks, "shingle").groupBy(F.col("mark").alias("shingle"), "key", "size").agg(F.min("place").alias("place"))
     return written(rows, "join-lists")
 
