@@ -168,7 +168,7 @@ def scored(docs: DataFrame, labels: DataFrame, score: str = "score", sample: int
     """``docs`` with the calibrated probability that a text is toxic.
 
     ``labels(doc_id, label)`` are the rows to learn from. Three quarters of the sample grow the
-    trees, the rest calibrate them.
+    trees. The rest calibrate them, along with the trees' own rows at a quarter of the weight.
     """
     if spare(docs, score) != score:
         raise ValueError(f"the documents already have a column {score}")
