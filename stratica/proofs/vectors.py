@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratica.functions.vectors import dot, has_dims
+from stratica.operators.blockwise import blockwise_topk
 from stratica.operators.embedding import DIMS, QUERY, embed
 from stratica.operators.vectors import dimension_report, hit_view, ranked, vector_topk, with_payload
 from stratica.operators.upsert import current, write_batch
@@ -68,6 +69,39 @@ def vector_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
     return hits.withColumn("score", F.round("score", 4))
 
 
+_ASKING = "queries AS (SELECT vec_id AS query_id, label AS own, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id % 100 = 0)"
+
+
+def _asking(points: DataFrame) -> DataFrame:
+    """Every hundredth vector as a question."""
+    return points.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), "label")
+
+
+@proof(
+    f"""WITH {_ASKING}, {_ranked_sql("embeddings")}
+        SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(s, 4) AS score FROM best WHERE rank <= 10"""
+)
+def vector_topk_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Top 10 for a table of query vectors that never reaches the driver."""
+    points = table(spark, folder, "embeddings")
+    hits = blockwise_topk(points, _asking(points), 10, dims=VECTOR_DIMS, **_NAMES)
+    return hits.withColumn("score", F.round("score", 4))
+
+
+@proof(
+    f"""WITH {_ASKING}, {_ranked_sql("embeddings WHERE label = own")}
+        SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(s, 4) AS score FROM best WHERE rank <= 10"""
+)
+def restricted_topk_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Top 10 for a table of query vectors, each among the points of its own label."""
+    points = table(spark, folder, "embeddings")
+    asking = _asking(points)
+    hits = blockwise_topk(
+        points, asking, 10, dims=VECTOR_DIMS, allowed=asking.select("query_id", "label"), entity="label", **_NAMES
+    )
+    return hits.withColumn("score", F.round("score", 4))
+
+
 @proof(
     f"""WITH {_centroid_sql("0")}, {_ranked_sql("embeddings")}
         SELECT vec_id, CAST(rank AS INTEGER) AS rank, round(s, 4) AS score FROM best WHERE rank <= 5"""

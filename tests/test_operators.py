@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stratica.functions.text import ERROR_TEXT, NO_HYBRID_TEXT
 from stratica.operators import analytics, filters, quality, upsert
 from stratica.operators.dedup import latest_by, one_per_entity, salt_of
+from stratica.operators.blockwise import blockwise_topk
 from stratica.operators.embedding import HashingModel, embed
 from stratica.operators.joins import entity_join, restricted_to, unmatched
 from stratica.operators.profile import distinct_counts, profile
@@ -203,6 +204,35 @@ def test_restricted_topk_equals_brute_force(spark, search_space, block):
     assert got == brute_force(points, queries, 6, allowed)
 
 
+@pytest.mark.parametrize(("block", "part"), [(None, None), (2, 7)])
+def test_blockwise_topk_equals_brute_force(spark, search_space, block, part):
+    points, queries, p, q = search_space
+    size = {"dims": 8, "block": block, "part": part}
+    assert searched(blockwise_topk(p, q, 10, **size)) == brute_force(points, queries, 10)
+    allowed = {i: [f"e{i % 7}", f"e{(i + 3) % 7}"] for i in range(6)}
+    pairs = spark.createDataFrame(
+        [(i, e) for i, es in allowed.items() for e in es * 2] + [(99, "e1"), (1, None)], "query_id int, business_id string"
+    )
+    got = searched(blockwise_topk(p, q, 6, allowed=pairs, entity="business_id", **size))
+    assert got == brute_force(points, queries, 6, allowed)
+
+
+def test_blockwise_topk_on_odd_vectors(spark, search_space):
+    """Vectors that are missing, short or no numbers find nothing and are not found; a repeated query counts once."""
+    points, queries, p, q = search_space
+    odd = [F.lit(None), F.slice("v", 1, 3), F.transform("v", lambda _: F.lit(float("nan")))]
+    more = q.limit(1).withColumnRenamed("query_vector", "v")
+    bad = [more.select((F.lit(50) + i).cast("int").alias("query_id"), c.cast(q.schema["query_vector"].dataType).alias("query_vector")) for i, c in enumerate(odd)]
+    asked = q.unionByName(q)
+    for b in bad:
+        asked = asked.unionByName(b)
+    seen = p.unionByName(p.limit(1).withColumn("point_id", F.lit("odd")).withColumn("embedding", F.slice("embedding", 1, 3)))
+    assert searched(blockwise_topk(seen, asked, 10, dims=8, block=2, part=7)) == brute_force(points, queries, 10)
+    pairs = spark.createDataFrame([(50, "e1"), (51, "e1"), (52, "e1")], "query_id int, business_id string")
+    assert blockwise_topk(seen, asked, 10, dims=8, allowed=pairs, entity="business_id").count() == 0
+    assert blockwise_topk(p.limit(0), q, 10, dims=8).count() == 0 and blockwise_topk(p, q.limit(0), 10, dims=8).count() == 0
+
+
 def test_search_filters_first_and_checks_dims(spark, search_space):
     points, queries, p, q = search_space
     hits, compiled = filtered_search(p, q, {"business_id": "e2"}, 3, dims=8, spec={"business_id": "string"})
