@@ -8,10 +8,9 @@ contaminated where some window of ``WINDOW`` tokens agrees in at least ``AGREE``
 The two masks are lossless for these numbers: whichever two of twelve tokens differ, one of the masks
 fits between them (a test tries all cases). So the join finds every window that the rule means.
 
-Defined results: tokens are runs of letters and digits, lower-cased; a null or empty text has none; an item
-of 5 to 11 tokens must occur whole and unchanged; an item of fewer than 5 tokens is too short
-to tell and is not searched; repeated documents or items each give their own row; no items or
-no documents give no rows.
+Defined results: tokens are runs of letters and digits, lower-cased; in scripts written without spaces each letter is a
+token; a null or empty text has none; an item of fewer than 12 tokens must occur whole and unchanged (``shortest`` leaves
+out items of fewer tokens than that); repeated documents or items each give their own row; no items or no documents give no rows.
 """
 
 from __future__ import annotations
@@ -25,14 +24,20 @@ from stratica.llm.common import let, spare, written
 MASKS = ("111011", "11010011")
 WINDOW = 12
 AGREE = 10
-SHORTEST = 5
+#: Items of fewer tokens are not searched.
+SHORTEST = 1
+#: Unicode scripts written without spaces between words.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 #: Seeds of test items are broadcast up to this many rows (some 60 MB); beyond it the join is left to Spark.
 BROADCAST_SEEDS = 1_000_000
 
 
 def tokens(text: Column) -> Column:
     """64-bit hashes of the tokens, in order."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    alone = "".join(rf"\p{{Is{script}}}" for script in UNSPACED)
+    apart = F.when(lower.rlike(f"[{alone}]"), F.regexp_replace(lower, f"([{alone}])", " $1 ")).otherwise(lower)
+    parts = F.split(apart, r"[^\p{L}\p{N}]+")
     # punctuation at either end of the text leaves an empty string there
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
@@ -44,12 +49,12 @@ def _seed(mask: str, array: str = "tokens", at: str = "at") -> Column:
     return F.when(fits, F.xxhash64(F.lit(mask), *picked))
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
+def item_seeds(items: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Seeds of the test items: seed, item (a row number), its length, and where in it the seed lies."""
     long_enough = [
         F.when(F.size("tokens") >= WINDOW, _seed(mask)) for mask in MASKS
     ] + [
-        F.when((F.size("tokens") == n) & (F.col("at") == 0), _seed("1" * n)) for n in range(SHORTEST, WINDOW)
+        F.when((F.size("tokens") == n) & (F.col("at") == 0), _seed("1" * n)) for n in range(shortest, WINDOW)
     ]
     spots = items.select("item", "tokens", F.posexplode("tokens").alias("at", "_token"))
     seeds = spots.select("item", F.size("tokens").alias("length"), "at", F.explode(F.array(*long_enough)).alias("seed"))
@@ -77,7 +82,7 @@ def hits(docs: DataFrame, seeds: DataFrame, short: list[int]) -> DataFrame:
     return found.groupBy("row", "item", "diagonal").agg(F.first("first").alias("first"), F.first("facing").alias("facing"))
 
 
-def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Rows of documents that hold a test item: doc_id, item_id, doc_at, item_at, agreeing, compared.
 
     One row for each document row, item and diagonal with a window that agrees; the positions are
@@ -86,8 +91,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     items = items.select("item_id", tokens(F.col("text")).alias("tokens"))
     items = written(items.withColumn("item", F.monotonically_increasing_id()), "leak-items")
-    seeds = written(item_seeds(items), "leak-seeds")
-    lengths = seeds.where(F.col("length") < WINDOW).select("length").distinct().collect()  # at most seven
+    seeds = written(item_seeds(items, shortest), "leak-seeds")
+    lengths = seeds.where(F.col("length") < WINDOW).select("length").distinct().collect()  # at most eleven
     rows = docs.select("doc_id", tokens(F.col("text")).alias("tokens"))
     rows = rows.select(F.struct("doc_id", F.monotonically_increasing_id().alias("n")).alias("row"), "tokens")
     found = hits(rows, seeds, sorted(r["length"] for r in lengths))
@@ -114,13 +119,13 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """The documents that hold no test item, columns unchanged.
 
     Rows are told apart by id and text: of an id that repeats, or is missing, only the rows that hold an item go.
     """
     id_ = F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    found = contaminated(docs.select(id_.alias("doc_id"), "text"), items).select("doc_id.*").distinct()
+    found = contaminated(docs.select(id_.alias("doc_id"), "text"), items, shortest).select("doc_id.*").distinct()
     tag = spare(docs, "text_hash")
     tagged = docs.withColumn(tag, F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col(f"d.{tag}") == F.col("f.hash"))

@@ -122,6 +122,8 @@ _CRC = """c AS (SELECT doc_id, 0 AS i, 4294967295 AS crc, CAST(doc_id AS VARCHAR
                    name FROM c WHERE i < strlen(name)),
       hit AS (SELECT doc_id FROM c WHERE i = strlen(name) AND xor(crc, 4294967295) % 7 = 0)"""
 
+_UNSPACED = "".join(rf"\p{{{script}}}" for script in decontaminate.UNSPACED)
+
 ORACLES: dict[str, str] = {
     "op2_host_rules": rf"""
       WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -154,8 +156,8 @@ ORACLES: dict[str, str] = {
                AND NOT (minor_failed AND (failures + mean * strength) / (docs + strength) > {host_rules.SUSPECT}) AS kept
       FROM j JOIN h ON j.source IS NOT DISTINCT FROM h.source, s""",
     "op4_decontamination": rf"""
-      WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') AS w FROM documents),
-      b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') AS w FROM benchmark),
+      WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '([{_UNSPACED}])', ' \1 ', 'g'), '[\pL\pN]+') AS w FROM documents),
+      b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '([{_UNSPACED}])', ' \1 ', 'g'), '[\pL\pN]+') AS w FROM benchmark),
       dw AS (SELECT r, i - 1 AS pos, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
       bw AS (SELECT q, i - 1 AS pos, w[i] AS word, len(w) AS n FROM b, unnest(range(1, len(w) + 1)) AS t(i)
              WHERE len(w) >= {decontaminate.SHORTEST}),

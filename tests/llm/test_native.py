@@ -21,6 +21,7 @@ def test_masks_are_lossless():
             )
 
 
+CHINESE = "春天的花园里开满了红色和白色的小花朵"
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
 
 
@@ -35,17 +36,30 @@ ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen
         ("nothing of the kind", False),
         ("tiny item of five words", True),
         ("tiny item of six words", False),
+        ("Is it too short?", True),
+        ("too very short", False),
+        ("前言" + CHINESE + "后记", True),
+        (CHINESE[:6] + "错" + CHINESE[7:], True),
+        (CHINESE[:6] + "错错错" + CHINESE[9:], False),
         ("", False),
         (None, False),
     ],
 )
 def test_substitutions(spark, text, found):
-    items = spark.createDataFrame([(1, ITEM), (2, "tiny item of five words"), (3, "too short"), (4, None)], "item_id long, text string")
+    items = spark.createDataFrame([(1, ITEM), (2, "tiny item of five words"), (3, "too short"), (4, None), (5, CHINESE)], "item_id long, text string")
     docs = spark.createDataFrame([(5, text)], "doc_id long, text string")
     assert bool(decontaminate.contaminated(docs, items).count()) == found
     assert decontaminate.clean(docs, items).count() == (not found)
 
 
+def test_shortest_items_can_be_left_out(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "a whole item of more words")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "yes, yes"), (2, "here is a whole item of more words")], "doc_id long, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["doc_at"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert found == [(1, 1, 0), (1, 1, 1), (2, 2, 2)]
+    assert [r["doc_id"] for r in decontaminate.contaminated(docs, items, shortest=5).collect()] == [2]
+
+
 def test_decontamination_cases(spark, odd_documents, no_documents):
     items = spark.createDataFrame([(1, "no id here but some words all the same"), (2, None)], "item_id long, text string")
     rows = decontaminate.contaminated(odd_documents, items).collect()
