@@ -35,8 +35,9 @@ BROADCAST_SEEDS = 1_000_000
 def tokens(text: Column) -> Column:
     """64-bit hashes of the tokens, in order."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    alone = "".join(rf"\p{{Is{script}}}" for script in UNSPACED)
-    apart = F.when(lower.rlike(f"[{alone}]"), F.regexp_replace(lower, f"([{alone}])", " $1 ")).otherwise(lower)
+    # all of them lie above U+0E00: other letters need no look at their script
+    alone = r"[\x{E00}-\x{10FFFF}&&[" + "".join(rf"\p{{Is{script}}}" for script in UNSPACED) + "]]"
+    apart = F.when(lower.rlike(alone), F.regexp_replace(lower, f"({alone})", " $1 ")).otherwise(lower)
     parts = F.split(apart, r"[^\p{L}\p{N}]+")
     # punctuation at either end of the text leaves an empty string there
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
