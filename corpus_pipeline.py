@@ -27,16 +27,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, as SimHash chooses it, the groups being texts linked by a five-word
-    similarity of 0.8 or more. Texts without words, or none, are copies of each other."""
-    prepare(spark)
-
-    def groups(rows: DataFrame) -> DataFrame:
-        found = written(occurrence_join.grouped(docs, NEAR_WORDS, NEAR_LEAST), "near-groups")
-        keys = rows.select("fp").distinct().join(found, F.col("fp") == F.col("node"), "left")
-        return keys.select("fp", F.coalesce("component", "fp").alias("component"))
+    """One document of each group of near-duplicates, by SimHash: fingerprints within its radius are linked.
 
-    return simhash.one_of_each(docs, occurrence_join.key_of(F.col("text")), groups)
+    Most pairs of a five-word similarity of 0.8 or more lie beyond a radius that buckets can serve; a join finds these,
+    and their links are added. Texts without words, or none, are copies of each other."""
+    prepare(spark)
+    similar = written(occurrence_join.grouped(docs, NEAR_WORDS, NEAR_LEAST), "near-groups")
+    return simhash.one_of_each(docs, occurrence_join.key_of(F.col("text")), similar)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

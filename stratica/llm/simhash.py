@@ -21,7 +21,7 @@ give no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -175,13 +175,15 @@ def near_links(fps: DataFrame) -> DataFrame:
     return spots.mapInArrow(_bucket_links, "a long, b long").distinct()
 
 
-def groups(rows: DataFrame) -> DataFrame:
+def groups(rows: DataFrame, further: DataFrame | None = None) -> DataFrame:
     """``(fp, component, component_id)`` of every fingerprint in ``rows(doc_id, fp)``.
 
     ``component`` is the smallest fingerprint of the group, ``component_id`` its smallest document id.
+    ``further(a, b)`` holds links between fingerprints besides those within the radius.
     """
     first = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = written(components(near_links(rows)), "simhash-components")
+    links = near_links(rows)
+    found = written(components(links if further is None else links.unionByName(further)), "simhash-components")
     named = first.join(found, F.col("fp") == F.col("node"), "left")
     named = written(named.select("fp", "first", F.coalesce("component", "fp").alias("component")), "simhash-named")
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -199,22 +201,30 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(
-    docs: DataFrame, mark: Column | None = None, grouped: Callable[[DataFrame], DataFrame] = groups
-) -> DataFrame:
+def _further(rows: DataFrame, similar: DataFrame) -> DataFrame:
+    """Links between the fingerprints of texts grouped by their keys; ``similar`` is ``(node, component)``, both keys."""
+    marks = written(rows.select("key", "fp").distinct(), "simhash-keys")
+    own = marks.join(similar, F.col("key") == F.col("node")).select(F.col("fp").alias("a"), "component")
+    return own.join(marks, F.col("component") == F.col("key")).select("a", F.col("fp").alias("b")).where("a <> b").distinct()
+
+
+def one_of_each(docs: DataFrame, key: Column | None = None, similar: DataFrame | None = None) -> DataFrame:
     """One document of each group: the row with the smallest id, columns unchanged.
 
-    ``mark`` is a document's fingerprint, and ``grouped`` gives the component of each; SimHash by default. Rows are told apart by a hash of all their columns, so of an id that repeats with different
+    Groups are SimHash's. ``similar(node, component)`` joins to them what another comparison found besides, as groups of texts
+    under ``key``, a hash of the text. Rows are told apart by a hash of all their columns, so of an id that repeats with different
     texts one row stays; copies of a whole row fold into one.
     """
     small_batches(docs.sparkSession)
     tag = spare(docs, "row_hash")
     tagged = docs.withColumn(tag, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    rows = tagged.select("doc_id", F.col(tag).alias("same"), (fingerprint_of("text") if mark is None else mark).alias("fp"))
+    named = [] if key is None else [key.alias("key")]
+    rows = tagged.select("doc_id", F.col(tag).alias("same"), fingerprint_of("text").alias("fp"), *named)
     rows = written(rows, "simhash-rows")
+    further = None if similar is None else _further(rows, similar)
     # a fingerprint's rows fold first, then its group's fingerprints
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")).alias("kept")
-    of_fp = rows.groupBy("fp").agg(smallest).join(grouped(rows), "fp")
+    of_fp = rows.groupBy("fp").agg(smallest).join(groups(rows, further), "fp")
     kept = of_fp.groupBy("component").agg(F.min("kept").alias("kept")).select("kept.doc_id", "kept.same")
     copies = rows.groupBy("doc_id", "same").agg(F.count("*").alias("copies"))
     match = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.same") == F.col("c.same"))
