@@ -1,6 +1,8 @@
 """Operators on small frames, against brute force where there is one."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from stratica.functions.text import ERROR_TEXT, NO_HYBRID_TEXT
 from stratica.operators import analytics, filters, quality, upsert
 from stratica.operators.dedup import latest_by, one_per_entity, salt_of
 from stratica.operators.blockwise import blockwise_topk
-from stratica.operators.embedding import HashingModel, embed
+from stratica.operators.embedding import HashingModel, _vectors, embed
 from stratica.operators.joins import entity_join, restricted_to, unmatched
 from stratica.operators.profile import distinct_counts, profile
 from stratica.operators.vectors import dimension_report, hit_view, restricted_topk, vector_topk
@@ -346,3 +348,19 @@ def test_answers_follow_their_route(spark, search_space):
     best = {i: [h[1] for h in brute_force(points, queries, 3, {i: ["e1"]} if i == 2 else None) if h[0] == i] for i in (1, 2, 5)}
     for i, names in best.items():
         assert all(f". {n} (, )" in got[i]["context"] for n in names)
+
+
+def test_a_task_holds_one_call_of_vectors():
+    texts = pd.Series(["some text", None, "other"] * 300)
+    pieces = list(_vectors(iter([texts, texts[:0], texts[:5]]), HashingModel(), "document", 100))
+    assert [len(p) for p in pieces] == [100] * 9 + [5]
+    assert all(v.dtype == np.float32 and v.shape == (768,) for p in pieces for v in p)
+
+
+def test_python_is_handed_few_long_texts_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    texts = spark.range(0, 4_000, 1, 1).select(F.repeat(F.lit("0123456789"), 1_000).alias("text"))
+    assert max(r["n"] for r in texts.mapInArrow(sizes, "n long").collect()) <= 1_000
