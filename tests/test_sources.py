@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratica.proofs import records
 from stratica.sources import contracts as c
 from stratica.sources import tables
 from stratica.sources.ndjson import infer_ndjson, malformed, parse_records, read_ndjson
@@ -103,3 +104,8 @@ def test_layers_are_created_filled_and_dropped(spark):
     tables.reset(spark, "bronze", "silver", "gold", prefix=prefix)
     assert not spark.catalog.databaseExists(f"{prefix}bronze")
     assert tables.fresh_checkpoint("/x", "q") != tables.fresh_checkpoint("/x", "q")
+
+
+def test_records_of_a_small_file_are_dealt_to_all_cores(spark):
+    pieces = records.business_source(spark, "/root/testdata/sf0.01").select(F.spark_partition_id().alias("piece"))
+    assert pieces.distinct().count() == spark.sparkContext.defaultParallelism > 1
